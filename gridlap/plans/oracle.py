@@ -60,6 +60,10 @@ halves AS (
 )
 """
 
+FILE_ID = "round_id || '|' || observable_name || '|' || CAST(CAST(time AS DATE) AS VARCHAR)"
+SHORT_FILE_ID = f"{FILE_ID} || '|' || CAST(hour(time) // 4 AS VARCHAR)"
+SHORT_READINGS = READINGS.replace(FILE_ID, SHORT_FILE_ID)
+
 LAPS = """
 counter_minute AS (
   SELECT round_id, minute, c.t AS lap_time, c.n AS round_number, c.v AS is_valid_round
@@ -218,9 +222,12 @@ def calendar(unit: str, expr: str) -> str:
 def matrix(cells: str, units: str, unit: str, label: str, day: str, zero_is_missing: bool = False, *more: str) -> str:
     value = "nullif(value, 0)" if zero_is_missing else "value"
     unit = f"{unit}, " if unit else ""
+    grid = (
+        f"SELECT u.*, gx.x, gy.y FROM (SELECT {KEY}, {unit}time, {day} AS day, {label} AS label FROM {units}) u, "
+        "(SELECT CAST(unnest(range(4)) AS INT) AS x) gx, (SELECT CAST(unnest(range(4)) AS INT) AS y) gy"
+    )
     return over(
-        f"SELECT u.*, gx.x, gy.y, p.value FROM (SELECT {KEY}, {unit}time, {day} AS day, {label} AS label FROM {units}) u, "
-        "LATERAL (SELECT CAST(unnest(range(4)) AS INT) AS x) gx, LATERAL (SELECT CAST(unnest(range(4)) AS INT) AS y) gy "
+        f"SELECT g.*, p.value FROM ({grid}) g "
         f"LEFT JOIN (SELECT {KEY}, {unit}x, y, {r6(half_even3(f'CASE WHEN {value} < 0 THEN 0 ELSE {value} END'))} AS value "
         f"FROM (SELECT {KEY}, {unit}x, y, arg_max(value, {{'t': time, 'z': z}}) AS value FROM {cells} "
         f"WHERE x >= 0 AND y >= 0 GROUP BY ALL)) p USING ({KEY}, {unit}x, y)",
@@ -365,7 +372,7 @@ def oracle_queries() -> dict[str, str]:
         READINGS,
     )
     sql["parse_envelopes"] = with_ctes(
-        "SELECT file_id || '/' || strftime(time, '%Y%m%d%H%M%S%f') || '/' || x || '/' || y || '/' || value AS file_id, round_id, "
+        "SELECT file_id || '/' || strftime(time, '%Y%m%d%H%M%S%f') || '/' || x || '/' || y || '/' || CAST(round(value * 10000) AS BIGINT) AS file_id, round_id, "
         f"robot_id, observable_name, observable_id, obs_type, x_dim, y_dim, {wire}, y AS x, x AS y, z, value, FALSE AS is_bad "
         "FROM (SELECT DISTINCT * FROM readings)",
         READINGS,
@@ -380,10 +387,10 @@ def oracle_queries() -> dict[str, str]:
         READINGS,
     )
     sql["file_statistics"] = with_ctes(
-        f"SELECT * REPLACE ({r6('value_sd')} AS value_sd, {r6('x_sd')} AS x_sd, {r6('y_sd')} AS y_sd) FROM files", READINGS, LAPS
+        f"SELECT * REPLACE ({r6('value_sd')} AS value_sd, {r6('x_sd')} AS x_sd, {r6('y_sd')} AS y_sd) FROM files", SHORT_READINGS, LAPS
     )
     sql["suspicious_files"] = with_ctes(
-        "SELECT file_id, readings, span_seconds FROM files WHERE file_id IN (FROM suspects)", READINGS, LAPS
+        "SELECT file_id, readings, span_seconds FROM files WHERE file_id IN (FROM suspects)", SHORT_READINGS, LAPS
     )
     known = "(SELECT 1 FROM robot_observable p WHERE p.robot_id = f.robot_id AND p.observable_id = f.observable_id)"
     sql["robot_allow_list"] = with_ctes(f"SELECT {FILE_COLUMNS}, readings FROM files f WHERE EXISTS {known}", READINGS, LAPS)
@@ -394,10 +401,10 @@ def oracle_queries() -> dict[str, str]:
         READINGS,
     )
     sql["file_verdicts"] = with_ctes(
-        "SELECT file_id, round_id, observable_name, verdict, file_round_number, day_of_production FROM checked", READINGS, LAPS
+        "SELECT file_id, round_id, observable_name, verdict, file_round_number, day_of_production FROM checked", SHORT_READINGS, LAPS
     )
     sql["file_round_shortcut"] = with_ctes(
-        "SELECT file_id, time, x, y, z, value, round_number, day_of_production FROM assigned", READINGS, LAPS
+        "SELECT file_id, time, x, y, z, value, round_number, day_of_production FROM assigned", SHORT_READINGS, LAPS
     )
     subjects = (
         "CASE verdict WHEN 'suspicious_data' THEN 'Suspicious data error' WHEN 'round_not_in_range' THEN 'Round not in range and is discarded' "
@@ -408,7 +415,7 @@ def oracle_queries() -> dict[str, str]:
         "CASE verdict WHEN 'suspicious_data' THEN 'Robot with id ' || robot_id || ' is sending suspicious data for round id ' || round_id "
         "ELSE observable_name || ' of robot with id ' || robot_id || ' was rejected for round id ' || round_id END AS body, "
         "verdict = 'suspicious_data' AND observable_name = 'temperature' AS notify FROM checked WHERE verdict IS NOT NULL",
-        READINGS,
+        SHORT_READINGS,
         LAPS,
     )
     sql["ingest_audit"] = with_ctes(
@@ -546,8 +553,9 @@ def oracle_queries() -> dict[str, str]:
     tod_units = f"(SELECT {KEY}, window_start, max(time) AS time, max(day) AS day FROM tods WHERE x >= 0 AND y >= 0 GROUP BY ALL)"
     sql["matrix_tod"] = matrix("tods", tod_units, "window_start", "strftime(time, '%d-%m %H:%M')", "day", True)
     sql["matrix_hourly"] = over(
-        f"SELECT u.*, gh.hour, gd.day, v.value FROM (SELECT DISTINCT {KEY}, last_day FROM hours JOIN last USING (round_id, observable_name)) u, "
-        "LATERAL (SELECT CAST(unnest(range(24)) AS INT) AS hour) gh, LATERAL (SELECT CAST(unnest(range(last_day + 1)) AS INT) AS day) gd "
+        f"SELECT g.*, v.value FROM (SELECT u.*, gh.hour, CAST(unnest(range(last_day + 1)) AS INT) AS day FROM "
+        f"(SELECT DISTINCT {KEY}, last_day FROM hours JOIN last USING (round_id, observable_name)) u, "
+        "(SELECT CAST(unnest(range(24)) AS INT) AS hour) gh) g "
         f"LEFT JOIN (SELECT {KEY}, CAST(hour(time) AS INT) AS hour, day, {r6(f'greatest(arg_max({SHOWN}, time), 0)')} AS value FROM hours GROUP BY ALL) v "
         f"USING ({KEY}, hour, day)",
         ROLLUPS,

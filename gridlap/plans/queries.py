@@ -77,7 +77,7 @@ def parse_envelopes(s: Sample) -> DataFrame:
     """Queue messages that hold one short file each, parsed to readings (a message per reading and place of its file)."""
     line = F.concat(F.lit('"'), _wire_time(), F.lit('",'), F.concat_ws(",", "x", "y", "z", "value"))
     content = F.concat(F.lit("timestamp,x,y,z,value\n"), line, F.lit("\n"))
-    name = F.concat_ws("/", "file_id", F.date_format("time", "yyyyMMddHHmmssSSSSSS"), "x", "y", "value")
+    name = F.concat_ws("/", "file_id", F.date_format("time", "yyyyMMddHHmmssSSSSSS"), "x", "y", F.round(F.col("value") * 10000).cast("long"))
     message = F.to_json(
         F.struct(
             content.alias("file_content"),
@@ -113,13 +113,13 @@ def asof_exact_assign(s: Sample) -> DataFrame:
 
 @query
 def file_statistics(s: Sample) -> DataFrame:
-    stats = rounded(quality.file_stats(s.view.readings), "value_sd", "x_sd", "y_sd")
+    stats = rounded(quality.file_stats(s.short_files), "value_sd", "x_sd", "y_sd")
     return stats.drop("bad_lines")
 
 
 @query
 def suspicious_files(s: Sample) -> DataFrame:
-    return quality.file_stats(s.view.readings).filter(quality.is_suspicious()).select("file_id", "readings", "span_seconds")
+    return quality.file_stats(s.short_files).filter(quality.is_suspicious()).select("file_id", "readings", "span_seconds")
 
 
 @query
@@ -142,19 +142,19 @@ def day_of_production(s: Sample) -> DataFrame:
 
 @query
 def file_verdicts(s: Sample) -> DataFrame:
-    return s.files.select("file_id", "round_id", "observable_name", "verdict", "file_round_number", "day_of_production")
+    return s.short_verdicts.select("file_id", "round_id", "observable_name", "verdict", "file_round_number", "day_of_production")
 
 
 @query
 def file_round_shortcut(s: Sample) -> DataFrame:
     """Readings that survive the file rules, with their lap."""
-    rows = laps.assign_laps(s.view.readings, s.files, s.index)
+    rows = laps.assign_laps(s.short_files, s.short_verdicts, s.index)
     return rows.select("file_id", "time", "x", "y", "z", "value", "round_number", "day_of_production")
 
 
 @query
 def file_rejections(s: Sample) -> DataFrame:
-    return alerts.file_alerts(s.files)
+    return alerts.file_alerts(s.short_verdicts)
 
 
 @query

@@ -33,6 +33,16 @@ class Sample:
     def files(self) -> DataFrame:
         return check_files(self.view.readings, self.index, self.view.cycles, self.view.robot_observable)
 
+    @cached_property
+    def short_files(self) -> DataFrame:
+        """The same readings in files of four hours, many of which lie within one lap."""
+        part = F.floor(F.hour("time") / 4).cast("string")
+        return self.view.readings.withColumn("file_id", F.concat_ws("|", "file_id", part))
+
+    @cached_property
+    def short_verdicts(self) -> DataFrame:
+        return check_files(self.short_files, self.index, self.view.cycles, self.view.robot_observable)
+
     @cached_property
     def cells(self) -> DataFrame:
         return finalise_cells(cell_partials(self.view.readings, self.files, self.index))
