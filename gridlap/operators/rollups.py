@@ -173,6 +173,12 @@ def tod_over_space(quadrants: DataFrame) -> DataFrame:
     return units.select("mean", "sd", "total", "time", "day", "time_of_day", *SERIES_KEY, "window_start")
 
 
+def last_closed_quadrant(cells: DataFrame, last: DataFrame) -> DataFrame:
+    """Middle of the last window a time-of-day roll-up of ``cells`` would contain, as ``mark``."""
+    closed = closed_quadrant_cells(cells, last).filter(F.col("x") != -1)
+    return closed.groupBy(*KEY).agg(tp.window_midpoint(F.max("window_start")).alias("mark"))
+
+
 def quadrant_windows(spans: DataFrame) -> DataFrame:
     """All windows after the one that holds ``start`` and before the one that holds ``newest``, as rows.
 

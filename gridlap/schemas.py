@@ -36,8 +36,6 @@ FRONTEND_ROUTING = {
 # Fixed value: the time that stands for "never".
 NEVER = "1970-01-01 00:00:01"
 
-
-
 DDL = {
     "reading": "file_id string, round_id string, robot_id string, observable_name string, observable_id string, obs_type string, "
     "x_dim int, y_dim int, time timestamp_ntz, x int, y int, z int, value double",
@@ -64,10 +62,40 @@ TABLE_KEYS = {
     "latest_over_space": ["round_id", "observable_name"],
     "round_over_time": ["round_id", "observable_name", "round_number", "x", "y", "z"],
     "round_over_space": ["round_id", "observable_name", "round_number"],
-    "day_over_time": ["round_id", "observable_name", "day", "x", "y", "z"],
+    "day_over_time": ["round_id", "observable_name", "day", "x", "y"],
     "day_over_space": ["round_id", "observable_name", "day"],
-    "tod_over_time": ["round_id", "observable_name", "window_start", "x", "y", "z"],
+    "tod_over_time": ["round_id", "observable_name", "window_start", "x", "y"],
     "tod_over_space": ["round_id", "observable_name", "window_start"],
     "hourly_overview": ["round_id", "observable_name", "time"],
     "frontend_data": ["round_id", "observable_name", "event_type", "type_of_plot"],
 }
+
+_ID = "round_id string, observable_name string, obs_type string"
+_STATS = "mean double, sd double, total double"
+_PLACE = "value double, time timestamp_ntz, x int, y int, z int"
+
+STORED_DDL = {
+    "partials": f"{_ID}, round_number int, x int, y int, z int, value_sum double, value_count bigint, rows bigint, time_days bigint, "
+    "time_seconds bigint, time_micros bigint, first_key bigint",
+    "cells": DDL["cell"],
+    "latest_over_time": f"{_PLACE}, {_ID}",
+    "latest_over_space": f"{_STATS}, latest_time timestamp_ntz, old_time timestamp_ntz, {_ID}",
+    "round_over_time": f"{_PLACE}, {_ID}, round_number int",
+    "round_over_space": f"{_STATS}, time timestamp_ntz, round_number int, {_ID}",
+    "day_over_time": f"{_PLACE}, {_ID}, day int",
+    "day_over_space": f"{_STATS}, time timestamp_ntz, day int, {_ID}",
+    "tod_over_time": f"{_PLACE}, {_ID}, day int, time_of_day int, window_start timestamp_ntz",
+    "tod_over_space": f"{_STATS}, time timestamp_ntz, day int, time_of_day int, {_ID}, window_start timestamp_ntz",
+    "hourly_overview": f"{_STATS}, time timestamp_ntz, round_number int, day int, {_ID}",
+    "frontend_data": "data string, event_type string, type_of_plot string, round_id string, observable_name string",
+    "alerts": "kind string, round_id string, robot_id string, observable_name string, file_id string, subject string, body string, "
+    "notify boolean",
+    "coordinate_alerts": "kind string, round_id string, robot_id string, observable_name string, file_id string, subject string, "
+    "body string, notify boolean",
+    "alert_notification": "id string, robot_id string, alert_id string, notification_method_id string, user_id string, "
+    "time timestamp_ntz, subject string, message string, level string, created_by string, event_type string",
+    "ingest_audit": "id string, robot_id string, round_id string, url string, `from` timestamp_ntz, `to` timestamp_ntz, "
+    "observable_id string, created_by string",
+    "triggers": "event_type string, round_id string, robot_id string, observable_name string, x_dim int, y_dim int, obs_type string, "
+    "routing_key string",
+}

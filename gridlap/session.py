@@ -50,13 +50,13 @@ def staging_dir(spark: SparkSession) -> str:
     return shared
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame that several branches read to the shared folder and read it back.
+def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Write a frame that several branches read to the shared folder and read it back (with ``spark``, if given).
 
     The lineage is cut at files that outlive any executor, the branches scan columnar data with pruning, and the planner gets
     the real size of the result.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/gridlap/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -92,10 +92,10 @@ def read_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame
     return parse_lines(read_lines(spark, path).join(manifest.select("file_id", *FILE_FIELDS), "file_id"))
 
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of length zero, which leave no line behind; only the listing is read."""
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") == 0)
-    return files.select(F.col("path").alias("file_id"))
+def with_empty_flag(manifest: DataFrame, lines: DataFrame) -> DataFrame:
+    """Mark the files of ``manifest`` that left no line behind (``is_empty``), for :func:`quality.check_files`."""
+    seen = lines.select("file_id").distinct().withColumn("is_empty", F.lit(False))
+    return manifest.join(seen, "file_id", "left").withColumn("is_empty", F.coalesce("is_empty", F.lit(True)))
 
 
 def read_csv_readings(spark: SparkSession, path: str) -> DataFrame:
