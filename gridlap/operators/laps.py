@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
@@ -83,24 +83,26 @@ class LapIndex:
         ``by_minute`` drops the seconds on both sides: a counter row claims its whole minute and the last one of a minute wins.
         """
         added = [f"{prefix}{name}" for name in ("round_number", "is_valid_round", "lap_time")]
-        laps = self.intervals.selectExpr(
+
+        def cut(column: Column) -> Column:
+            return tp.trunc("MINUTE", column) if by_minute else column
+
+        # Both sides are cut before the join, so that its condition only compares columns.
+        laps = self.intervals.select(
             "round_id",
-            "day AS _day",
-            "lo AS _lo",
-            "hi AS _hi",
-            f"round_number AS {added[0]}",
-            f"is_valid_round AS {added[1]}",
-            f"lap_time AS {added[2]}",
+            F.col("day").alias("_day"),
+            cut(F.col("lo")).alias("_lo"),
+            cut(F.col("hi")).alias("_hi"),
+            F.col("round_number").alias(added[0]),
+            F.col("is_valid_round").alias(added[1]),
+            F.col("lap_time").alias(added[2]),
         )
-        bucketed = rows.join(self.last_days, "round_id", "left").withColumn(
-            "_day", F.least(F.to_date(time), "last_counter_day")
+        bucketed = rows.join(self.last_days, "round_id", "left").withColumns(
+            {"_day": F.least(F.to_date(time), "last_counter_day"), "_at": cut(F.col(time))}
         )
-        at, lo, hi = F.col(f"l.{time}"), F.col("r._lo"), F.col("r._hi")
-        if by_minute:
-            at, lo, hi = (tp.trunc("MINUTE", c) for c in (at, lo, hi))
+        at, lo, hi = F.col("l._at"), F.col("r._lo"), F.col("r._hi")
         same_day = (F.col("l.round_id") == F.col("r.round_id")) & (F.col("l._day") == F.col("r._day"))
-        inside = (at >= lo) & (F.col("r._hi").isNull() | (at < hi))
-        joined = bucketed.alias("l").join(laps.alias("r"), same_day & inside, "left")
+        joined = bucketed.alias("l").join(laps.alias("r"), same_day & (at >= lo) & (hi.isNull() | (at < hi)), "left")
         return joined.select(*[f"l.{c}" for c in rows.columns], *[f"r.{c}" for c in added])
 
 

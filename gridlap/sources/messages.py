@@ -20,10 +20,13 @@ CSV_COLUMNS = ["timestamp", "x", "y", "z", "value"]
 FILE_FIELDS = ["round_id", "robot_id", "observable_name", "observable_id", "obs_type", "x_dim", "y_dim"]
 
 
+def _unquoted(text: Column) -> Column:
+    return F.regexp_replace(text, '^"|"$', "")
+
+
 def reading_time(text: Column) -> Column:
     """Timestamp text, with or without literal quotes; NULL if it does not parse."""
-    bare = F.regexp_replace(text, '^"|"$', "")
-    return F.try_to_timestamp(bare, F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    return F.try_to_timestamp(_unquoted(text), F.lit(TIME_FORMAT)).cast("timestamp_ntz")
 
 
 def _number(text: Column) -> Column:
@@ -35,51 +38,52 @@ def _grid(value: Column) -> Column:
     return nan_to_null(value).try_cast("int")
 
 
+def _header_positions(rows: DataFrame) -> DataFrame:
+    """Per file with a header: the place of each column in it. Only lines that name the time column are looked at."""
+    named = rows.filter(F.col("line").contains(CSV_COLUMNS[0]) & ~F.col("line").startswith("{"))
+    columns = F.transform(F.split("line", r"\s*,\s*"), _unquoted)
+    found = named.select("file_id", columns.alias("_columns")).filter(F.array_contains("_columns", CSV_COLUMNS[0]))
+    headers = found.groupBy("file_id").agg(F.max("_columns").alias("_columns"))
+    places = [F.nullif(F.array_position("_columns", c).cast("int"), F.lit(0)).alias(f"_at_{c}") for c in CSV_COLUMNS]
+    return headers.select("file_id", F.size("_columns").alias("_width"), *places)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """``(file_id, line, ...)`` to ``(file_id, ..., time, x, y, z, value, is_bad)``.
 
     CSV columns are found by the names in the file's header; their x and y are swapped, JSON's are not.
     """
     carried = [c for c in lines.columns if c != "line"]
-    rows = lines.filter(F.trim("line") != "").withColumn("line", F.trim("line"))
-    is_json = F.col("line").startswith("{")
-    # Only lines with the column name in them are split to look for headers: about one per file.
-    named = rows.filter(F.col("line").contains(CSV_COLUMNS[0]) & ~is_json)
-    fields = F.transform(F.split("line", r"\s*,\s*"), lambda c: F.regexp_replace(c, '^"|"$', ""))
-    found = named.withColumn("columns", fields).filter(F.array_contains("columns", CSV_COLUMNS[0]))
-    headers = stage(found.groupBy("file_id").agg(F.max("columns").alias("_columns")), "headers")
-
-    typed = rows.join(headers, "file_id", "left").withColumns({"_is_json": is_json, "_fields": F.split("line", r"\s*,\s*")})
-    is_header = F.coalesce(F.array_contains("_columns", CSV_COLUMNS[0]), F.lit(False)) & F.arrays_overlap(
-        F.transform("_fields", lambda c: F.regexp_replace(c, '^"|"$', "")), F.array(F.lit(CSV_COLUMNS[0]))
+    rows = lines.withColumn("line", F.trim("line")).filter(F.col("line") != "")
+    headers = stage(_header_positions(rows), "headers")
+
+    typed = rows.join(headers, "file_id", "left").withColumns(
+        {"_is_json": F.col("line").startswith("{"), "_fields": F.split("line", r"\s*,\s*")}
     )
+    # The test for a header runs only on lines that contain the column's name.
+    names_time = F.col("line").contains(CSV_COLUMNS[0]) & F.col("_width").isNotNull() & ~F.col("_is_json")
+    is_header = F.when(names_time, F.exists("_fields", lambda c: _unquoted(c) == CSV_COLUMNS[0])).otherwise(False)
     typed = typed.filter(~is_header)
 
     def field(name: str) -> Column:
-        position = F.array_position("_columns", name).cast("int")
-        return F.when(position > 0, F.get(F.col("_fields"), position - 1))
-
-    j = F.from_json("line", DDL["json_reading"])
-    typed = typed.withColumn("_j", F.when(F.col("_is_json"), j))
-    coordinate = F.col("_j.coordinates")
-    csv_value = field("value")
-    parsed = typed.select(
-        *carried,
-        "_is_json",
-        "_columns",
-        "_fields",
-        F.when(F.col("_is_json"), reading_time(F.col("_j.timestamp"))).otherwise(reading_time(field("timestamp"))).alias("time"),
-        F.when(F.col("_is_json"), _grid(F.get(coordinate, F.lit(0)))).otherwise(_grid(_number(field("y")))).alias("x"),
-        F.when(F.col("_is_json"), _grid(F.get(coordinate, F.lit(1)))).otherwise(_grid(_number(field("x")))).alias("y"),
-        F.when(F.col("_is_json"), _grid(F.get(coordinate, F.lit(2)))).otherwise(_grid(_number(field("z")))).alias("z"),
-        F.when(F.col("_is_json"), nan_to_null(F.col("_j.data"))).otherwise(_number(csv_value)).alias("value"),
-        (~F.col("_is_json") & (F.coalesce(csv_value, F.lit("")) != "") & csv_value.try_cast("double").isNull()).alias("_no_number"),
-    )
-    wrong_kind = F.col("_is_json") == F.col("_columns").isNotNull()
-    too_long = F.coalesce(F.size("_fields") > F.size("_columns"), F.lit(False)) & ~F.col("_is_json")
+        return F.get(F.col("_fields"), F.col(f"_at_{name}") - 1)
+
+    json = typed.filter("_is_json").withColumn("_j", F.from_json("line", DDL["json_reading"]))
+    csv = typed.filter("NOT _is_json").withColumn("_value", field("value"))
+    places = [_grid(F.get("_j.coordinates", F.lit(i))).alias(c) for i, c in enumerate("xyz")]
+    from_json = json.select(
+        *carried, "_width", reading_time(F.col("_j.timestamp")).alias("time"), *places,
+        nan_to_null(F.col("_j.data")).alias("value"), F.col("_width").isNotNull().alias("_misfit"),
+    )
+    no_number = (F.coalesce("_value", F.lit("")) != "") & F.col("_value").try_cast("double").isNull()
+    from_csv = csv.select(
+        *carried, "_width", reading_time(field("timestamp")).alias("time"), _grid(_number(field("y"))).alias("x"),
+        _grid(_number(field("x"))).alias("y"), _grid(_number(field("z"))).alias("z"), _number(F.col("_value")).alias("value"),
+        (F.col("_width").isNull() | (F.size("_fields") > F.col("_width")) | no_number).alias("_misfit"),
+    )
     missing = F.col("time").isNull() | F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()
-    bad = wrong_kind | too_long | missing | F.col("_no_number")
-    return parsed.withColumn("is_bad", bad).select(*carried, "time", "x", "y", "z", "value", "is_bad")
+    parsed = from_csv.unionByName(from_json).withColumn("is_bad", F.col("_misfit") | missing)
+    return parsed.select(*carried, "time", "x", "y", "z", "value", "is_bad")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

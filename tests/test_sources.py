@@ -60,7 +60,8 @@ def test_folder_of_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text(CSV + CSV.split("\n")[1].replace("34:01", "35:01") + "\n")
     (tmp_path / "b.json").write_text(JSON)
     (tmp_path / "c.csv").write_text("")
-    names = [f"file://{tmp_path}/{n}" for n in ("a.csv", "b.json", "c.csv")]
+    folder = messages.read_lines(spark, str(tmp_path)).first().file_id.rsplit("/", 1)[0]
+    names = [f"{folder}/{n}" for n in ("a.csv", "b.json", "c.csv")]
     manifest = spark.createDataFrame(
         [(n, "pc", "rb", "temperature", "temperature", "ambient_condition", 3, 3) for n in names],
         "file_id string, round_id string, robot_id string, observable_name string, observable_id string, obs_type string, x_dim int, y_dim int",
