@@ -45,7 +45,8 @@ def cell_partials(readings: DataFrame, files: DataFrame, index: LapIndex) -> Dat
     file verdicts then join the sums, not the readings. A file, cycle or square that holds most of the readings arrives as a few
     rows per task.
     """
-    matched = index.match(readings.filter(F.col("time").isNotNull()))
+    placed = readings.filter("time IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+    matched = index.match(placed)
     summed = matched.groupBy("file_id", "x", "y", "z", "round_number", "is_valid_round").agg(*_reading_sums())
     accepted = files.filter(F.col("verdict").isNull()).select(
         "file_id", "round_id", "observable_name", "obs_type", "file_round_number", "day_of_production"

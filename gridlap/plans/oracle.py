@@ -567,4 +567,32 @@ def oracle_queries() -> dict[str, str]:
         "GROUP BY round_id, observable_name",
         LATEST,
     )
+    # Insert or update: continuing from a mark ends where one run over everything does
+    for name, whole in {
+        "upsert_latest": "latest_over_time",
+        "upsert_rounds": "round_over_space",
+        "upsert_round_places": "round_over_time",
+        "upsert_days": "day_over_space",
+        "upsert_quadrants": "tod_over_space",
+        "upsert_hours": "hourly_overview",
+    }.items():
+        sql[name] = sql[whole]
+    # Documents
+    graphs = " UNION ALL ".join(
+        f"SELECT round_id, observable_name, event_type, time, date, value FROM ({sql[name]})"
+        for name in (
+            "series_latest", "series_round", "series_day", "series_tod", "series_hour", "series_calendar_day", "series_calendar_week",
+            "series_calendar_month",
+        )
+    )
+    sql["graph_documents"] = (
+        "SELECT round_id, observable_name, event_type, date, value, CAST(row_number() OVER "
+        f"(PARTITION BY round_id, observable_name, event_type ORDER BY time) - 1 AS INT) AS n FROM ({graphs})"
+    )
+    sql["heatmap_documents"] = " UNION ALL ".join(
+        f"SELECT round_id, observable_name, '{event}' AS event_type, label, CAST(day AS VARCHAR) AS day, x, y, value FROM ({sql[name]})"
+        for name, event in {
+            "matrix_latest": "latest", "matrix_round": "round", "matrix_day": "new_day", "matrix_tod": "time_of_day",
+        }.items()
+    )
     return sql

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import reduce
 
@@ -168,7 +169,7 @@ def refresh_rollups(store: Store, controls: Controls, units: DataFrame) -> None:
         lambda: _refresh_hours(store, cells, units),
     ]
     with ThreadPoolExecutor(len(families)) as pool:
-        for done in [pool.submit(family) for family in families]:
+        for done in [pool.submit(copy_context().run, family) for family in families]:
             done.result()
 
 

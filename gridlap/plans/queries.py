@@ -6,6 +6,7 @@ Floating results are rounded to six digits (see :func:`six`), because the last b
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from ..functions.formulas import derived_names
 from ..functions.numbers import round_half_up
 from ..operators import alerts, derived, heatmaps, invalidation, laps, marks, quality, rollups, series, triggers
 from ..operators.cells import cell_partials, finalise_cells, merge_partials
+from ..operators.upsert import upsert, upsert_newest
 from ..sources import messages, scans
 from ..sources.sensor_view import sensor_readings
-from .frontend import frontend_data
+from .frontend import OUTPUTS, Rollups, event_outputs, frontend_data
+from .jobs import JobInput, run_job
 from .sample import Sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +292,51 @@ def hourly_incremental(s: Sample) -> DataFrame:
     return rounded(rollups.hourly_overview(s.stored_cells, done), "mean", "sd", "total")
 
 
+# Insert or update ----------------------------------------------------------------------------------------------------------
+
+
+def _continued(s: Sample, event: str, table: str, mark: Callable[[DataFrame], DataFrame], source: str | None = None) -> DataFrame:
+    """Roll-up of the earlier cells, continued from its high-water mark over all cells and merged by key."""
+    earlier = run_job(event, JobInput(s.earlier_cells, s.earlier_last, s.view.counter))
+    done = mark(earlier[source or table])
+    fresh = run_job(event, JobInput(s.stored_cells, s.last, s.view.counter, done))
+    return upsert(earlier[table], fresh[table], S.TABLE_KEYS[table])
+
+
+@query
+def upsert_latest(s: Sample) -> DataFrame:
+    earlier = run_job(S.LATEST, JobInput(s.earlier_cells, s.earlier_last, s.view.counter))
+    done = marks.last_latest(earlier["latest_over_space"])
+    fresh = run_job(S.LATEST, JobInput(s.stored_cells, s.last, s.view.counter, done))
+    key = S.TABLE_KEYS["latest_over_time"]
+    return rounded(upsert_newest(earlier["latest_over_time"], fresh["latest_over_time"], key), "value")
+
+
+@query
+def upsert_rounds(s: Sample) -> DataFrame:
+    return rounded(_continued(s, S.NEW_ROUND, "round_over_space", marks.last_round), "mean", "sd", "total")
+
+
+@query
+def upsert_round_places(s: Sample) -> DataFrame:
+    return rounded(_continued(s, S.NEW_ROUND, "round_over_time", marks.last_round, "round_over_space"), "value")
+
+
+@query
+def upsert_days(s: Sample) -> DataFrame:
+    return rounded(_continued(s, S.NEW_DAY, "day_over_space", marks.last_day), "mean", "sd", "total")
+
+
+@query
+def upsert_quadrants(s: Sample) -> DataFrame:
+    return rounded(_continued(s, S.NEW_TIME_OF_DAY, "tod_over_space", marks.last_time_of_day), "mean", "sd", "total")
+
+
+@query
+def upsert_hours(s: Sample) -> DataFrame:
+    return rounded(_continued(s, S.NEW_HOURLY_OVERVIEW, "hourly_overview", marks.last_hour), "mean", "sd", "total")
+
+
 # Retraction ----------------------------------------------------------------------------------------------------------------
 
 
@@ -432,6 +480,31 @@ def coordinate_alerts(s: Sample) -> DataFrame:
     return alerts.coordinate_alerts(heatmaps.with_dims(rollups.latest_over_time(s.cells), small))
 
 
+def _documents(s: Sample, plot: str) -> DataFrame:
+    tables = Rollups(s.stored_cells, s.last, s.view.counter, s.view.cycles, s.dims)
+    return reduce(DataFrame.unionByName, [event_outputs(event, tables) for event in OUTPUTS]).filter(F.col("type_of_plot") == plot)
+
+
+@query
+def graph_documents(s: Sample) -> DataFrame:
+    """All graph documents, read back from their JSON."""
+    parsed = F.from_json("data", "data array<double>, date array<string>")
+    docs = _documents(s, "graph").select("round_id", "observable_name", "event_type", parsed.alias("d"))
+    points = docs.select("round_id", "observable_name", "event_type", F.posexplode(F.arrays_zip("d.date", "d.data")).alias("n", "p"))
+    return points.select("round_id", "observable_name", "event_type", "n", "p.date", six("p.data").alias("value"))
+
+
+@query
+def heatmap_documents(s: Sample) -> DataFrame:
+    """All labelled heatmap documents, read back from their JSON."""
+    parsed = F.from_json("data", "data map<string, array<array<double>>>, date array<string>")
+    docs = _documents(s, "heatmap").filter("event_type <> 'hourly_overview'")
+    keys = ["round_id", "observable_name", "event_type"]
+    units = docs.select(*keys, parsed.alias("d")).select(*keys, F.posexplode("d.data").alias("n", "label", "matrix"), "d.date")
+    units = units.select(*keys, "label", F.get("date", "n").alias("day"), "matrix")
+    return rounded(heatmaps.matrix_cells(units), "value")
+
+
 @query
 def frontend_json(s: Sample) -> DataFrame:
     return frontend_data(s.stored_cells, s.last, s.view.counter, s.view.cycles, s.dims)

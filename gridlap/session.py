@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +53,22 @@ def staging_dir(spark: SparkSession) -> str:
     return shared
 
 
+_scope: ContextVar[tuple[str, Counter] | None] = ContextVar("gridlap_stage", default=None)
+
+
+@contextmanager
+def staging_scope(name: str):
+    """Staged frames inside this block go to a folder of their own, and a later block of the same name writes over them.
+
+    A stream that stages for every batch thus keeps the space of one batch.
+    """
+    token = _scope.set((name, Counter()))
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
 def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back (with ``spark``, if given).
 
@@ -57,6 +76,12 @@ def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFr
     the real size of the result.
     """
     spark = spark or df.sparkSession
-    path = f"{staging_dir(spark).rstrip('/')}/gridlap/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    scope = _scope.get()
+    if scope is None:
+        folder = f"{name}-{uuid.uuid4().hex}"
+    else:
+        scope[1][name] += 1
+        folder = f"{scope[0]}/{name}-{scope[1][name]}"
+    path = f"{staging_dir(spark).rstrip('/')}/gridlap/{folder}"
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

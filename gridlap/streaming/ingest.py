@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import Controls, process_batch
-from ..session import configure, stage
+from ..session import configure, stage, staging_scope
 from ..sources.messages import parse_envelopes
 from .store import Store
 
@@ -35,8 +36,9 @@ def start_ingest(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # The batch is written out once; all further work runs in the store's session, with adaptive execution.
-        envelopes = stage(parse_envelopes(batch), "envelopes", configure(store.spark))
-        process_batch(store, envelopes, controls(), batch_id, frontend)
+        with staging_scope(f"stream-{hashlib.sha256(store.root.encode()).hexdigest()[:16]}"):
+            envelopes = stage(parse_envelopes(batch), "envelopes", configure(store.spark))
+            process_batch(store, envelopes, controls(), batch_id, frontend)
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
