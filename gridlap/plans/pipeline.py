@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +14,7 @@ from ..operators.cells import cell_partials, finalise_cells
 from ..operators.heatmaps import with_dims
 from ..operators.laps import LapIndex
 from ..operators.quality import check_files
-from ..session import stage
+from ..session import side_by_side, stage
 from ..sources.messages import envelope_manifest, envelope_readings
 from ..streaming.store import Store, day_slice, hour_slice, lap_slice, quadrant_slice
 from .frontend import OUTPUTS, Rollups, event_outputs
@@ -42,22 +40,36 @@ def ingest(store: Store, envelopes: DataFrame, controls: Controls, batch_id: int
     files = check_files(readings, index, controls.cycles, controls.robot_observable, envelope_manifest(envelopes))
     files = stage(files, "files")
     partials = stage(cell_partials(readings, files, index), "partials")
-    store.put_batch("partials", partials, batch_id)
-    store.put_batch("alerts", alerts.file_alerts(files), batch_id)
-    store.put_batch("ingest_audit", alerts.ingest_audit(files, F.col("last_time")), batch_id)
+    side_by_side(
+        lambda: store.put_batch("partials", partials, batch_id),
+        lambda: store.put_batch("alerts", alerts.file_alerts(files), batch_id),
+        lambda: store.put_batch("ingest_audit", alerts.ingest_audit(files, F.col("last_time")), batch_id),
+        lambda: _put_triggers(store, partials, triggers.batch_context(readings), controls.counter, batch_id),
+    )
+    units = store.batches("new_units").filter(F.col("batch_id") == batch_id)
+    touched = partials.select("round_id", lap_slice(F.col("round_number")).alias("slice"))
+    closing = _closed_laps(units).select("round_id", lap_slice(F.col("round_number")).alias("slice"))
+    return stage(touched.unionByName(closing).distinct(), "touched")
+
+
+def _closed_laps(units: DataFrame) -> DataFrame:
+    return units.filter("is_new_round").select("round_id", (F.col("lap") - 1).alias("round_number")).distinct()
+
 
-    # What was stored before is read from the earlier batches, so a repeated batch raises the same triggers.
+def _put_triggers(store: Store, partials: DataFrame, context: DataFrame, counter: DataFrame, batch_id: int) -> None:
+    """Triggers and discarded-lap alerts of a batch.
+
+    What was stored before is read from the earlier batches, so a repeated batch raises the same triggers.
+    """
     earlier = stage(finalise_cells(store.partials(partials.select("round_id").distinct(), before=batch_id)), "earlier")
     last = stage(marks.last_rows(earlier), "earlier-last")
     tod = rollups.last_closed_quadrant(earlier, last)
-    units = stage(triggers.new_units(finalise_cells(partials), last, tod), "new-units")
-    context = triggers.batch_context(readings)
-    store.put_batch("triggers", triggers.time_triggers(units, context), batch_id)
-    closed = units.filter("is_new_round").select("round_id", (F.col("lap") - 1).alias("round_number")).distinct()
-    store.put_batch("alert_notification", invalidation.invalid_alerts(controls.counter, closed), batch_id)
-    touched = partials.select("round_id", lap_slice(F.col("round_number")).alias("slice"))
-    closing = closed.select("round_id", lap_slice(F.col("round_number")).alias("slice"))
-    return stage(touched.unionByName(closing).distinct(), "touched")
+    store.put_batch("new_units", triggers.new_units(finalise_cells(partials), last, tod), batch_id)
+    units = store.batches("new_units").filter(F.col("batch_id") == batch_id)
+    side_by_side(
+        lambda: store.put_batch("triggers", triggers.time_triggers(units, context), batch_id),
+        lambda: store.put_batch("alert_notification", invalidation.invalid_alerts(counter, _closed_laps(units)), batch_id),
+    )
 
 
 def refresh_cells(store: Store, controls: Controls, slices: DataFrame, batch_id: int) -> DataFrame:
@@ -168,9 +180,7 @@ def refresh_rollups(store: Store, controls: Controls, units: DataFrame) -> None:
         lambda: _refresh_quadrants(store, cells, last, units),
         lambda: _refresh_hours(store, cells, units),
     ]
-    with ThreadPoolExecutor(len(families)) as pool:
-        for done in [pool.submit(copy_context().run, family) for family in families]:
-            done.result()
+    side_by_side(*families)
 
 
 def stored_rollups(store: Store, controls: Controls, cycles: DataFrame) -> Rollups:
@@ -195,11 +205,12 @@ def stored_rollups(store: Store, controls: Controls, cycles: DataFrame) -> Rollu
 def refresh_frontend(store: Store, controls: Controls, cycles: DataFrame, batch_id: int) -> None:
     """Rewrite the display rows of the touched cycles; places outside the grid become alerts."""
     tables = stored_rollups(store, controls, cycles)
-    rows = reduce(DataFrame.unionByName, [event_outputs(event, tables) for event in OUTPUTS])
-    slices = cycles.withColumn("slice", F.lit(0))
-    store.replace_slices("frontend_data", rows, slices)
     outside = alerts.coordinate_alerts(with_dims(tables.latest, controls.dims))
-    store.put_batch("coordinate_alerts", outside, batch_id)
+    *outputs, _ = side_by_side(
+        *[partial(lambda event: stage(event_outputs(event, tables), f"display-{event}"), event) for event in OUTPUTS],
+        lambda: store.put_batch("coordinate_alerts", outside, batch_id),
+    )
+    store.replace_slices("frontend_data", reduce(DataFrame.unionByName, outputs), cycles.withColumn("slice", F.lit(0)))
 
 
 def process_batch(store: Store, envelopes: DataFrame, controls: Controls, batch_id: int, frontend: bool = True) -> None:

@@ -5,11 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections import Counter
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Timestamps are zone-free; date_trunc and the epoch functions go through the session zone, so it is pinned.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -85,3 +90,9 @@ def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFr
     path = f"{staging_dir(spark).rstrip('/')}/gridlap/{folder}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*tasks: Callable[[], T]) -> list[T]:
+    """Run independent jobs at the same time and return their results; the first error is raised."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [done.result() for done in [pool.submit(copy_context().run, task) for task in tasks]]

@@ -60,6 +60,15 @@ ROW_SLICES: dict[str, Callable[[], Column]] = {
 }
 
 
+def _selective(keys: DataFrame) -> DataFrame:
+    """The touched keys, with a comparison that always holds.
+
+    Dynamic partition pruning is planned only where the small side of the join carries a predicate; with it, folders of other
+    cycles and slices are not read.
+    """
+    return keys.filter(F.col("round_id") >= F.lit(""))
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -100,7 +109,8 @@ class Store:
         if before is not None:
             rows = rows.filter(F.col("batch_id") < before)
         if slices is not None:
-            rows = rows.join(slices, [c for c in ("round_id", "slice") if c in slices.columns], "left_semi")
+            key = [c for c in ("round_id", "slice") if c in slices.columns]
+            rows = rows.join(_selective(slices.select(*key)), key, "left_semi")
         return merge_partials(rows)
 
     def compact(self, target: Store) -> None:
@@ -115,7 +125,7 @@ class Store:
         """Rows of a sliced table, optionally only of some cycles (``round_id``)."""
         rows = self._load(table, "slice int, is_empty boolean").filter(~F.col("is_empty"))
         if cycles is not None:
-            rows = rows.join(cycles.select("round_id"), "round_id", "left_semi")
+            rows = rows.join(_selective(cycles.select("round_id")), "round_id", "left_semi")
         return rows.select(*_columns(table))
 
     def replace_slices(self, table: str, df: DataFrame, slices: DataFrame) -> None:

@@ -12,6 +12,7 @@ from gridlap.operators.cells import cell_partials, cells_of, finalise_cells, mer
 from gridlap.operators.invalidation import drop_invalid, invalid_alerts, invalid_starts
 from gridlap.operators.laps import LapIndex
 from gridlap.operators.quality import check_files
+from gridlap.session import stage
 
 LAP = [("pc", "2024-01-01 00:00:00", 1, 1)]
 
@@ -76,6 +77,28 @@ def test_merge_equals_one_pass(spark):
     assert [r[3] for r in merged] == [-1, -1]  # the day of the earliest reading
 
 
+def test_same_cells_without_broadcast_joins(spark):
+    """Most readings in one file and one square, lookups beyond the broadcast limit."""
+    hot = spark.range(6000).selectExpr("IF(id % 3 = 0, 'hot', concat('f', id % 40)) AS file_id", "id").selectExpr(
+        "file_id", "'pc' AS round_id", "'rb' AS robot_id", "'temperature' AS observable_name", "'temperature' AS observable_id",
+        "'ambient_condition' AS obs_type", "3 AS x_dim", "3 AS y_dim",
+        "CAST(timestamp_seconds(1704189600 + 7 * id) AS TIMESTAMP_NTZ) AS time", "CAST(IF(file_id = 'hot', 1, id % 4) AS INT) AS x",
+        "CAST(id % 2 AS INT) AS y", "0 AS z", "CAST(id % 17 AS DOUBLE) AS value",
+    )
+    hot = stage(hot, "hot")
+    laps = counter(spark, *[("pc", f"2024-01-02 {h:02d}:15:00", h, int(h % 5 != 2)) for h in range(24)])
+    args = laps, cycles(spark, ("pc", "2024-01-01")), sensors(spark, ("rb", "temperature"))
+    columns = ["round_number", "x", "y", "value", "time", "day_of_production"]
+    expected = rows_of(cells_of(hot, *args), *columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = cells_of(hot, *args)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(found, *columns) == expected and expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 STARTS = {
     "good first": [("10:00", 1), ("11:00", 0), ("12:00", 0)],
     "good last": [("10:00", 0), ("11:00", 0), ("12:00", 1)],

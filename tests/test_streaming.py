@@ -68,11 +68,11 @@ def controls(spark):
     )
 
 
-def run(spark, root, controls, batches, first=0):
+def run(spark, root, controls, batches, first=0, frontend=False):
     store = Store(spark, str(root))
     for i, batch in enumerate(batches):
         df = parse_envelopes(spark.createDataFrame([(m,) for m in batch], "value string"))
-        process_batch(store, df, controls, first + i)
+        process_batch(store, df, controls, first + i, frontend)
     return store
 
 
@@ -89,7 +89,7 @@ def snapshot(store):
 
 @pytest.fixture(scope="module")
 def whole(spark, tmp_path_factory, controls):
-    return snapshot(run(spark, tmp_path_factory.mktemp("whole"), controls, [messages()]))
+    return snapshot(run(spark, tmp_path_factory.mktemp("whole"), controls, [messages()], frontend=True))
 
 
 def _same(a, b, skip=("frontend",)):
@@ -170,6 +170,14 @@ def test_compaction_keeps_the_cells(spark, tmp_path, controls):
     assert rows_of(target.batches("partials").select("batch_id").distinct(), "batch_id") == [(1,)]
 
 
+def test_only_touched_folders_are_read(spark, tmp_path, controls):
+    store = Store(spark, str(tmp_path))
+    files = parse_envelopes(spark.createDataFrame([(m,) for m in messages()[:6]], "value string"))
+    slices = ingest(store, stage(files, "m"), controls, 0)
+    plan = store.partials(slices)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_stream_equals_batch(spark, tmp_path, controls, whole):
     every = messages()
     source = tmp_path / "in"
