@@ -19,7 +19,6 @@ from ..operators import alerts, derived, heatmaps, invalidation, laps, marks, qu
 from ..operators.cells import cell_partials, finalise_cells, merge_partials
 from ..operators.upsert import upsert, upsert_newest
 from ..sources import messages, scans
-from ..sources.sensor_view import sensor_readings
 from .frontend import OUTPUTS, Rollups, event_outputs, frontend_data
 from .jobs import JobInput, run_job
 from .sample import Sample
