@@ -4,7 +4,7 @@ An encoding is valid exactly when each pair of neighbouring tokens is: merging t
 So every prefix of a piece has one valid encoding, and it ends with the one token whose left neighbour, the last token of the shorter
 prefix, accepts it. The transducer reads bytes and keeps as its state the last token it has emitted and the bytes since then. Whatever
 all prefixes that a longer token may still extend agree on is emitted, so the lookahead is bounded by the longest token. States and
-transitions are built when first met and kept in tables of bounded size.
+transitions are built when first met and kept while their tables have room; beyond that they are built again each time.
 
 Edge cases: a null or empty text has no tokens; bytes that no token covers cannot occur because all 256 single bytes are tokens (checked);
 texts of any length are encoded whole, piece by piece; repeated rows give repeated results; an empty table gives an empty result; extra
@@ -52,7 +52,7 @@ class State:
     def __init__(self, root: int, alive: tuple[tuple[bytes, tuple[int, ...]], ...]) -> None:
         self.root = root
         self.alive = alive
-        self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
+        self.moves: dict[int, tuple[tuple[int, ...], State]] | None = None
 
 
 class Transducer:
@@ -66,12 +66,8 @@ class Transducer:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.spans: dict[str, tuple[int, ...]] = {}
-        self.restart()
-
-    def restart(self) -> None:
-        """Forget the states; they are built anew when met."""
-        gc.collect()
         self.start = State(NONE, ((b"", ()),))
+        self.start.moves = {}
         self.states: dict[tuple, State] = {(NONE, self.start.alive): self.start}
 
     def merge(self, data: bytes, below: int) -> list[bytes]:
@@ -112,15 +108,15 @@ class Transducer:
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 4 * STATE_LIMIT:
-                self.pairs.clear()
             after = self.spine(right, 0)
             before = () if left == NONE else self.spine(left, 1)
-            known = self.pairs[key] = (
+            known = (
                 after is not None
                 and before is not None
                 and not any(self.crosses(a + b, a_used, b_used) for a, a_used in before for b, b_used in after)
             )
+            if len(self.pairs) < 2 * STATE_LIMIT:
+                self.pairs[key] = known
         return known
 
     def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
@@ -151,30 +147,34 @@ class Transducer:
         key = (root, tuple(alive))
         following = self.states.get(key)
         if following is None:
-            following = self.states[key] = State(*key)
+            following = State(*key)
+            if len(self.states) < STATE_LIMIT:
+                self.states[key] = following
+                following.moves = {}
         return least[:common], following
 
     def encode(self, piece: bytes) -> list[int]:
         known = self.ranks.get(piece)
         if known is not None:
             return [known]
-        if len(self.states) > STATE_LIMIT:
-            self.restart()
         out: list[int] = []
         state = self.start
         for byte in piece:
-            found = state.moves.get(byte)
+            moves = state.moves
+            found = moves.get(byte) if moves is not None else None
             if found is None:
-                found = state.moves[byte] = self.move(state, byte)
+                found = self.move(state, byte)
+                if moves is not None and found[1].moves is not None:
+                    moves[byte] = found
             emitted, state = found
             if emitted:
                 out += emitted
         return out + list(state.alive[-1][1])
 
     def piece_ids(self, piece: str) -> tuple[int, ...]:
-        if len(self.pieces) > PIECE_LIMIT:
-            self.pieces.clear()
-        ids = self.pieces[piece] = tuple(self.encode(piece.encode("utf-8", "surrogatepass")))
+        ids = tuple(self.encode(piece.encode("utf-8", "surrogatepass")))
+        if len(self.pieces) < PIECE_LIMIT:
+            self.pieces[piece] = ids
         return ids
 
     def encode_text(self, text: str | None, pattern: regex.Pattern) -> list[int]:
@@ -195,10 +195,10 @@ class Transducer:
         return ids
 
     def span_ids(self, span: str, pattern: regex.Pattern) -> tuple[int, ...]:
-        if len(self.spans) > PIECE_LIMIT:
-            self.spans.clear()
         known, new = self.pieces.get, self.piece_ids
-        ids = self.spans[span] = tuple(chain.from_iterable([known(p) or new(p) for p in pattern.findall(" " + span)]))
+        ids = tuple(chain.from_iterable([known(p) or new(p) for p in pattern.findall(" " + span)]))
+        if len(self.spans) < PIECE_LIMIT:
+            self.spans[span] = ids
         return ids
 
 
@@ -254,7 +254,7 @@ _loaded: dict[tuple[str, str], tuple[Transducer, regex.Pattern]] = {}
 def _transducer(path: str, pattern: str) -> tuple[Transducer, regex.Pattern]:
     """One transducer per worker process and vocabulary; its tables serve later tasks too."""
     if (path, pattern) not in _loaded:
-        gc.disable()  # the tables hold millions of objects and no garbage; restart() collects what it drops
+        gc.disable()  # the tables hold millions of objects and no garbage; cycles are only among states, which stay
         _loaded[path, pattern] = Transducer(load_ranks(path)), regex.compile(pattern)
     return _loaded[path, pattern]
 
