@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from gridlap.llm import byte_bpe, chat, language_id, quality, token_counts, warc
+from gridlap.llm import byte_bpe, chat, decontaminate, embedding_dups, jaccard_join, language_id, quality, suffix_dedup, token_counts, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_chat_format": chat.op2_chat_format,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_language_id": language_id.op4_language_id,
     "op5_quality": quality.op5_quality,
+    "op6_embedding_dups": embedding_dups.op6_embedding_dups,
     "op7_warc": warc.op7_warc,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
