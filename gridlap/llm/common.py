@@ -89,7 +89,7 @@ _WORD_BYTE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), 0x5F, *r
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
         size = max(n, 1 << 16)
         for name, factor in (("up", _MULTIPLIER), ("down", _INVERSE)):
@@ -113,7 +113,7 @@ def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside[1:] = _WORD_BYTE[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    up, down = _power_tables(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     words = mix((sums[ends] - sums[starts]) * down[starts])

@@ -180,7 +180,9 @@ def classes(members: DataFrame, groups: DataFrame, found: DataFrame) -> DataFram
         "f1", "f2", "n", F.coalesce("component", "id").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     return members.join(answers, ["f1", "f2", "n"], "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "doc_id",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
     )
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import BATCH_BYTES, _power_tables, by_bytes, map_arrow, mix, shuffle_width, stage
+from gridlap.llm.common import BATCH_BYTES, by_bytes, map_arrow, mix, power_tables, shuffle_width, stage
 
 LENGTH, GRAM, RUN = 50, 20, 64
 GROUP_ROWS = 200_000
@@ -155,21 +155,17 @@ def _stretch_rows(ids: np.ndarray, texts: list[str | None], wanted: list[np.ndar
     content = pa.BinaryArray.from_buffers(
         pa.binary(), len(at), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[gather]))]
     )
-    up, down = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    digest = mix((sums[starts + sizes] - sums[starts]) * down[starts] + sizes.astype(np.uint64))
     return pa.RecordBatch.from_arrays(
-        [pa.array(least[at].view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[owner]), pa.array((starts - begins[owner]).astype(np.int32)), content],
-        names=["h", "c", "doc_id", "start", "content"],
-    )
+        [pa.array(least[at].view(np.int64)), pa.array(ids[owner]), pa.array((starts - begins[owner]).astype(np.int32)), content],
+        names=["h", "doc_id", "start", "content"],
+    )
 
 
-STRETCH_SCHEMA = "h long, c long, doc_id long, start int, content binary"
+STRETCH_SCHEMA = "h long, doc_id long, start int, content binary"
 
 
 def stretch_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(h, c, doc_id, start, content) of the wanted stretches; ``c`` is a digest of the content."""
+    """(h, doc_id, start, content) of the wanted stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,15 +218,34 @@ def previous_factors(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
+def _content_digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit digest of each content; together with the minimizer it stands for the content."""
+    begin, data = offsets[:-1] - offsets[0], data[offsets[0] : offsets[-1]]
+    size = np.diff(offsets)
+    out = np.empty(len(size), dtype=np.uint64)
+    step = 1 << 14  # contents at a time, so that the tables of powers stay small
+    for lo in range(0, len(size), step):
+        own, length = begin[lo : lo + step], size[lo : lo + step]
+        part = data[own[0] : own[-1] + length[-1]]
+        up, down = power_tables(len(part) + 1)
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
+        at = own - own[0]
+        out[lo : lo + step] = mix((sums[at + length] - sums[at]) * down[at] + length.astype(np.uint64))
+    return out
+
+
 def _resolve(table: pa.Table, length: int) -> pa.RecordBatch:
-    """Removed places (doc_id, first, last) from whole minimizer groups in the order of h, c, doc_id."""
-    h, c, doc, start = (table.column(k).to_numpy() for k in ("h", "c", "doc_id", "start"))
+    """Removed places (doc_id, first, last) from whole minimizer groups."""
+    h, doc, start = (table.column(k).to_numpy() for k in ("h", "doc_id", "start"))
     content = table.column("content").combine_chunks()
     if isinstance(content, pa.ChunkedArray):
         content = pa.concat_arrays(content.chunks)
     offsets = np.frombuffer(content.buffers()[1], dtype=np.int32)[content.offset : content.offset + len(content) + 1].astype(np.int64)
     data = np.frombuffer(content.buffers()[2], dtype=np.uint8)
-    size = np.diff(offsets)
+    c = _content_digests(data, offsets)
+    order = np.lexsort([doc, c, h])
+    h, c, doc, start, begin_of, size = h[order], c[order], doc[order], start[order], offsets[:-1][order], np.diff(offsets)[order]
     new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))
     first = np.flatnonzero(new)
     group = np.cumsum(new) - 1
@@ -245,7 +260,7 @@ def _resolve(table: pa.Table, length: int) -> pa.RecordBatch:
         counts = size[first[contested]] - length + 1
         ends = np.cumsum(counts)
         within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
-        places = np.repeat(offsets[first[contested]], counts) + within
+        places = np.repeat(begin_of[first[contested]], counts) + within
         rows = np.lib.stride_tricks.sliding_window_view(data, length)[places]
         hit = previous_factors(rows, np.repeat(doc[first[contested]], counts)) >= length
         bounds = np.concatenate([[0], ends])
@@ -281,7 +296,7 @@ def repeated_places(sent: DataFrame, length: int) -> DataFrame:
         if table is not None and table.num_rows:
             yield _resolve(table.combine_chunks(), length)
 
-    ordered = sent.repartition(shuffle_width(sent.sparkSession), "h").sortWithinPartitions("h", "c", "doc_id")
+    ordered = sent.repartition(shuffle_width(sent.sparkSession), "h").sortWithinPartitions("h")
     return map_arrow(ordered, run, "doc_id long, first int, last int")
 
 
