@@ -104,6 +104,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_fold: tuple[int, int] | Non
         F.xxhash64("doc_id").alias("order"),
     ).collect()
     rows = sorted(rows, key=lambda r: (r.order, bytes(r.text)))[: 4 * sample]
+    if len({r.quality for r in rows}) < 2:
+        return QualityModel(b"", b"", (prior, 0.0, 0.0))
     material = {q: [bytes(r.text) for r in rows if r.quality == q and r.for_dictionary] for q in (0, 1)}
     try:
         bad, good = (zstandard.train_dictionary(DICTIONARY_BYTES, material[q]).as_bytes() for q in (0, 1))
