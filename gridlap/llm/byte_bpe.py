@@ -4,7 +4,7 @@ An encoding is valid exactly when each pair of neighbouring tokens is: merging t
 So every prefix of a piece has one valid encoding, and it ends with the one token whose left neighbour, the last token of the shorter
 prefix, accepts it. The transducer reads bytes and keeps as its state the last token it has emitted and the bytes since then. Whatever
 all prefixes that a longer token may still extend agree on is emitted, so the lookahead is bounded by the longest token. States and
-transitions are built when first met and kept while their tables have room; beyond that they are built again each time.
+transitions are built when first met, while their tables have room; a piece that leaves them is finished by the rule itself.
 
 Edge cases: a null or empty text has no tokens; bytes that no token covers cannot occur because all 256 single bytes are tokens (checked);
 texts of any length are encoded whole, piece by piece; repeated rows give repeated results; an empty table gives an empty result; extra
@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlap.llm.common import by_bytes, map_arrow
 
-STATE_LIMIT = 200_000
-PIECE_LIMIT = 400_000
+STATE_LIMIT = 40_000
+PAIR_LIMIT = 150_000
+PIECE_LIMIT = 150_000
 NONE = -1
 _LONE_SPACE = regex.compile(r" (?!\S)")
 
@@ -52,7 +53,7 @@ class State:
     def __init__(self, root: int, alive: tuple[tuple[bytes, tuple[int, ...]], ...]) -> None:
         self.root = root
         self.alive = alive
-        self.moves: dict[int, tuple[tuple[int, ...], State]] | None = None
+        self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
 
 
 class Transducer:
@@ -61,13 +62,13 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
+        self.longest = max(map(len, ranks))
         self.open_prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
         self.spines: dict[tuple[int, int], tuple[tuple[bytes, int], ...] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.spans: dict[str, tuple[int, ...]] = {}
         self.start = State(NONE, ((b"", ()),))
-        self.start.moves = {}
         self.states: dict[tuple, State] = {(NONE, self.start.alive): self.start}
 
     def merge(self, data: bytes, below: int) -> list[bytes]:
@@ -98,11 +99,6 @@ class Transducer:
         self.spines[token, side] = found
         return found
 
-    def crosses(self, joined: bytes, left_used: int, right_used: int) -> bool:
-        """Whether two parts are joined before either is used up; of merges of one rank the one further left comes first."""
-        rank = self.ranks.get(joined)
-        return rank is not None and rank < left_used and rank <= right_used
-
     def accepts(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left`` (NONE: begin a piece): no merge across the two comes before those inside them."""
         key = (left, right)
@@ -110,12 +106,14 @@ class Transducer:
         if known is None:
             after = self.spine(right, 0)
             before = () if left == NONE else self.spine(left, 1)
-            known = (
-                after is not None
-                and before is not None
-                and not any(self.crosses(a + b, a_used, b_used) for a, a_used in before for b, b_used in after)
-            )
-            if len(self.pairs) < 2 * STATE_LIMIT:
+            known = after is not None and before is not None
+            for a, a_used in before if known else ():
+                for b, b_used in after:
+                    # Of merges of one rank the one further left comes first.
+                    rank = self.ranks.get(a + b)
+                    if rank is not None and rank < a_used and rank <= b_used:
+                        known = False
+            if len(self.pairs) < PAIR_LIMIT:
                 self.pairs[key] = known
         return known
 
@@ -147,25 +145,49 @@ class Transducer:
         key = (root, tuple(alive))
         following = self.states.get(key)
         if following is None:
-            following = State(*key)
-            if len(self.states) < STATE_LIMIT:
-                self.states[key] = following
-                following.moves = {}
+            following = self.states[key] = State(*key)
         return least[:common], following
 
+    def rest(self, state: State, data: bytes) -> list[int]:
+        """Ids after ``state`` for all that follows, by the same rule without building states.
+
+        Each prefix gets its last token; a prefix whose encoding avoids the state's root gets none.
+        """
+        since, path = state.alive[0]
+        pending = b"".join([self.bytes_of[t] for t in path]) + since + data
+        ranks, pairs, root = self.ranks, self.pairs, state.root
+        last: list[int | None] = [root]
+        begin = [0]
+        for end in range(1, len(pending) + 1):
+            found = None
+            for start in range(max(0, end - self.longest), end):
+                token = ranks.get(pending[start:end])
+                if token is None or last[start] is None:
+                    continue
+                fits = pairs.get((last[start], token))
+                if self.accepts(last[start], token) if fits is None else fits:
+                    found = token
+                    break
+            last.append(found)
+            begin.append(start)
+        out, at = [], len(pending)
+        while at:
+            out.append(last[at])
+            at = begin[at]
+        return out[::-1]
+
     def encode(self, piece: bytes) -> list[int]:
         known = self.ranks.get(piece)
         if known is not None:
             return [known]
         out: list[int] = []
         state = self.start
-        for byte in piece:
-            moves = state.moves
-            found = moves.get(byte) if moves is not None else None
+        for at, byte in enumerate(piece):
+            found = state.moves.get(byte)
             if found is None:
-                found = self.move(state, byte)
-                if moves is not None and found[1].moves is not None:
-                    moves[byte] = found
+                if len(self.states) >= STATE_LIMIT:
+                    return out + self.rest(state, piece[at:])
+                found = state.moves[byte] = self.move(state, byte)
             emitted, state = found
             if emitted:
                 out += emitted
