@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -53,6 +54,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not when the driver next happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that no later step reads."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

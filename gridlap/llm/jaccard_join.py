@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlap.llm import buckets
-from gridlap.llm.common import by_bytes, hashed_words, map_arrow, mix, shingles, stage
+from gridlap.llm.common import by_bytes, hashed_words, map_arrow, mix, release_shuffles, shingles, stage
 from gridlap.llm.components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
@@ -124,11 +124,22 @@ def leaf_buckets(sets: DataFrame, limit: int = LIMIT) -> DataFrame:
     return out
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """48 bits of each hash: enough to tell the few thousand tokens of one comparison apart."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(payload: bytes) -> np.ndarray:
+    tokens = np.zeros((len(payload) // 6, 8), dtype=np.uint8)
+    tokens[:, :6] = np.frombuffer(payload, dtype=np.uint8).reshape(-1, 6)
+    return tokens.view("<u8").ravel()
+
+
 def similar_sets(threshold: float):
     """Which of some sets, given as bytes of sorted hashes, have a Jaccard similarity of at least ``threshold``."""
 
     def similar(payloads: list[bytes]) -> np.ndarray:
-        sets = [np.frombuffer(p, dtype=np.uint64) for p in payloads]
+        sets = [unpacked(p) for p in payloads]
         sizes = np.array([len(s) for s in sets], dtype=np.float64)
         _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
@@ -155,7 +166,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     groups = known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count_distinct("doc_id").alias("copies"))
     groups = stage(groups, "groups").dropDuplicates(["id"])
     sets = known.join(groups.select(F.col("id").alias("doc_id"), F.col("f1").alias("g1")), "doc_id").where("f1 = g1").select(F.col("doc_id").alias("id"), "l1", "l2", "l3")
-    lists = buckets.member_lists(leaf_buckets(stage(sets, "paths")))
+    lists = stage(buckets.member_lists(leaf_buckets(stage(sets, "paths"))), "lists")
+    release_shuffles(docs.sparkSession)
     members = lists.join(groups.select("id", "copies"), "id")
     texts = docs.join(members.withColumnRenamed("id", "doc_id"), "doc_id")
 
@@ -165,10 +177,11 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             for lo, hi in by_bytes(values):
                 part = batch.slice(lo, hi - lo)
                 columns = [part.column(c).to_pylist() for c in ("doc_id", "copies", "buckets")]
-                yield from buckets.deal(*columns, [tokens.tobytes() for tokens in token_sets(values[lo:hi])])
+                yield from buckets.deal(*columns, [packed(tokens) for tokens in token_sets(values[lo:hi])])
 
     dealt = map_arrow(texts.select("doc_id", "copies", "buckets", "text"), run, buckets.DEALT_SCHEMA)
     found = stage(buckets.compare(dealt, similar_sets(threshold)), "links")
+    release_shuffles(docs.sparkSession)
     return classes(described.select("doc_id", "f1", "f2", "n"), groups, found)
 
 

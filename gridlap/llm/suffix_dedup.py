@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import BATCH_BYTES, by_bytes, map_arrow, mix, power_tables, shuffle_width, stage
+from gridlap.llm.common import BATCH_BYTES, by_bytes, map_arrow, mix, power_tables, release_shuffles, shuffle_width, stage
 
 LENGTH, GRAM, RUN = 50, 20, 64
 GROUP_ROWS = 200_000
@@ -334,7 +334,9 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be over {GRAM}")
     docs = docs.select("doc_id", "text")
     wanted = stage(shared_stretches(docs, length), "shared")
+    release_shuffles(docs.sparkSession)
     places = stage(repeated_places(stretch_texts(docs, wanted, length), length), "places")
+    release_shuffles(docs.sparkSession)
     grouped = places.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("p"))
     return grouped.select("doc_id", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"))
 
