@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 MORNING, AFTERNOON, EVENING, NIGHT = 1, 2, 3, 4
 QUADRANT_STARTS = {MORNING: 8, AFTERNOON: 12, EVENING: 16, NIGHT: 20}
 
-_TIE_BITS = 24
-_TIE_OFFSET = 1 << 23
+ORDER_KEY_TYPE = "decimal(38,0)"
+_TIE_OFFSET = 1 << 31
+
+
+def _tie_range() -> Column:
+    return F.lit(1 << 32).cast("decimal(10,0)")
 
 
 def ntz(text: str) -> Column:
@@ -43,20 +47,26 @@ def from_seconds(secs: Column) -> Column:
 
 
 def order_key(time: Column, tie: Column) -> Column:
-    """Seconds and a small integer in one long, ordered by time and then by ``tie``.
+    """Microseconds and any int in one decimal, ordered by time and then by ``tie``.
 
-    ``max_by(value, struct(time, tie))`` would leave the hash aggregate for a sort of all input rows; one long keeps it. ``tie``
-    must stay within +-2**23, which covers lap numbers, days and heights.
+    ``max_by(value, struct(time, tie))`` would leave the hash aggregate for a sort of all input rows; a decimal is a fixed-width
+    aggregate buffer and keeps it.
     """
-    return F.shiftleft(seconds(time), _TIE_BITS) + tie.cast("long") + F.lit(_TIE_OFFSET).cast("long")
+    micros = F.unix_micros(time.cast("timestamp")).cast("decimal(19,0)")
+    return (micros * _tie_range() + (tie.cast("long") + _TIE_OFFSET).cast("decimal(11,0)")).cast(ORDER_KEY_TYPE)
+
+
+def _tie_part(key: Column) -> Column:
+    return F.pmod(key, _tie_range())
 
 
 def key_time(key: Column) -> Column:
-    return from_seconds(F.shiftright(key, _TIE_BITS))
+    micros = F.call_function("div", key - _tie_part(key), _tie_range())
+    return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
 def key_tie(key: Column) -> Column:
-    return (key - F.shiftleft(F.shiftright(key, _TIE_BITS), _TIE_BITS) - F.lit(_TIE_OFFSET)).cast("int")
+    return (_tie_part(key).cast("long") - _TIE_OFFSET).cast("int")
 
 
 def time_parts(time: Column) -> dict[str, Column]:

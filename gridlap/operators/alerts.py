@@ -11,6 +11,7 @@ from .quality import BAD_FILE, NOT_AVAILABLE, SUSPICIOUS
 # Message texts and the one observable whose suspicious files are reported.
 WRONG_COORDINATES = "wrong_coordinates"
 EMPTY_OUTPUT = "empty_output"
+REPEATED_FILE = "repeated_file"
 SUBJECTS = {
     SUSPICIOUS: "Suspicious data error",
     BAD_FILE: "File is bad",
@@ -19,6 +20,7 @@ SUBJECTS = {
     NOT_VALID: "Round is not valid",
     NOT_AVAILABLE: "Observable is not available for this robot",
     EMPTY_OUTPUT: "There is no data for this output",
+    REPEATED_FILE: "File was delivered before and is not counted again",
 }
 REPORTED_OBSERVABLE = "temperature"
 ALERT_COLUMNS = ["kind", "round_id", "robot_id", "observable_name", "file_id", "subject", "body", "notify"]
@@ -54,6 +56,12 @@ def file_alerts(files: DataFrame) -> DataFrame:
     return _alert(files.filter(verdict.isNotNull()), verdict, body, notify)
 
 
+def repeated_alerts(files: DataFrame) -> DataFrame:
+    """One row per file (round_id, robot_id, observable_name, file_id) that was already taken in."""
+    body = F.concat(F.lit("File "), "file_id", F.lit(" of round id "), "round_id", F.lit(" was delivered again"))
+    return _alert(files, F.lit(REPEATED_FILE), body, F.lit(False))
+
+
 def coordinate_alerts(rows: DataFrame) -> DataFrame:
     """One row per cycle and observable that has places outside its grid (``x_dim``, ``y_dim`` columns)."""
     outside = rows.filter((F.col("x") > F.col("x_dim")) | (F.col("y") > F.col("y_dim")))

@@ -33,8 +33,12 @@ class Controls:
 def ingest(store: Store, envelopes: DataFrame, controls: Controls, batch_id: int) -> DataFrame:
     """Check and sum the files of one batch and write partials, alerts and the audit. Returns the touched (round_id, slice).
 
-    ``envelopes`` are read several times: pass a table or a staged frame.
+    ``envelopes`` are read several times: pass a table or a staged frame. A file that an earlier batch has audited was delivered
+    again: it is reported and not counted a second time.
     """
+    seen = store.batches("ingest_audit", before=batch_id).select(F.col("url").alias("file_id")).distinct()
+    repeated = alerts.repeated_alerts(envelopes.join(seen, "file_id", "left_semi"))
+    envelopes = envelopes.join(seen, "file_id", "left_anti")
     readings = stage(envelope_readings(envelopes), "readings")
     index = LapIndex.build(controls.counter)
     files = check_files(readings, index, controls.cycles, controls.robot_observable, envelope_manifest(envelopes))
@@ -42,7 +46,7 @@ def ingest(store: Store, envelopes: DataFrame, controls: Controls, batch_id: int
     partials = stage(cell_partials(readings, files, index), "partials")
     side_by_side(
         lambda: store.put_batch("partials", partials, batch_id),
-        lambda: store.put_batch("alerts", alerts.file_alerts(files), batch_id),
+        lambda: store.put_batch("alerts", alerts.file_alerts(files).unionByName(repeated), batch_id),
         lambda: store.put_batch("ingest_audit", alerts.ingest_audit(files, F.col("last_time")), batch_id),
         lambda: _put_triggers(store, partials, triggers.batch_context(readings), controls.counter, batch_id),
     )

@@ -76,7 +76,7 @@ _PLACE = "value double, time timestamp_ntz, x int, y int, z int"
 
 STORED_DDL = {
     "partials": f"{_ID}, round_number int, x int, y int, z int, value_sum double, value_count bigint, rows bigint, time_days bigint, "
-    "time_seconds bigint, time_micros bigint, first_key bigint",
+    "time_seconds bigint, time_micros bigint, first_key decimal(38,0)",
     "cells": DDL["cell"],
     "latest_over_time": f"{_PLACE}, {_ID}",
     "latest_over_space": f"{_STATS}, latest_time timestamp_ntz, old_time timestamp_ntz, {_ID}",

@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import Controls, process_batch
@@ -42,17 +41,3 @@ def start_ingest(
 
     writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def hourly_stream(readings: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Append-only hourly mean and sum of a stream of readings; an hour appears once it can no longer change.
-
-    For sinks that cannot replace rows. Later readings than ``lateness`` are dropped here; the stored tables take them in.
-    """
-    hour = F.window("time", "1 hour")
-    timed = readings.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", lateness)
-    return (
-        timed.groupBy(hour.alias("hour"), "round_id", "observable_name")
-        .agg(F.avg("value").alias("mean"), F.sum("value").alias("total"), F.count("value").alias("readings"))
-        .select(F.col("hour.start").cast("timestamp_ntz").alias("time"), "round_id", "observable_name", "mean", "total", "readings")
-    )

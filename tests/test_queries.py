@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from compare import connect, differences
 
@@ -18,7 +20,8 @@ def con(sf_dir):
 
 def test_names_agree():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"frontend_json"}
+    library = {name for name in QUERIES if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert library - set(ORACLE) == {"frontend_json"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -12,7 +12,7 @@ from frames import counter, cycles, rows_of, sensors
 from gridlap.plans.pipeline import Controls, ingest, process_batch
 from gridlap.session import stage
 from gridlap.sources.messages import parse_envelopes
-from gridlap.streaming.ingest import hourly_stream, message_files, start_ingest
+from gridlap.streaming.ingest import message_files, start_ingest
 from gridlap.streaming.store import Store
 
 CELL = ["round_id", "observable_name", "round_number", "x", "y", "z", "value", "time", "day_of_production"]
@@ -196,17 +196,11 @@ def test_stream_equals_batch(spark, tmp_path, controls, whole):
     assert [r for r in whole["frontend"] if r[2:4] != ("latest", "graph")] == [r for r in parts["frontend"] if r[2:4] != ("latest", "graph")]
 
 
-def test_append_only_hours(spark, tmp_path):
-    source = tmp_path / "in"
-    source.mkdir()
-    rows = [{"time": f"2024-01-01T{h:02d}:15:00", "round_id": "pc", "observable_name": "temperature", "value": float(h)} for h in range(6)]
-    (source / "a.json").write_text("\n".join(json.dumps(r) for r in rows))
-    stream = spark.readStream.schema("time timestamp_ntz, round_id string, observable_name string, value double").json(str(source))
-    query = (
-        hourly_stream(stream).writeStream.format("memory").queryName("append_hours").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination(300)
-    hours = rows_of(spark.table("append_hours"), "time", "mean", "readings")
-    assert hours and hours[0] == (datetime(2024, 1, 1, 0), 0.0, 1)
-    assert len(hours) < 6  # the last hours may still change
+def test_a_file_sent_again_counts_once(spark, tmp_path, controls):
+    """The same file in two batches: sums stay, and the second delivery is reported."""
+    file = message("a", "2024-01-01 09:00:00", [20 + i for i in range(8)])
+    store = run(spark, tmp_path, controls, [[file]])
+    store = run(spark, tmp_path, controls, [[file, message("b", "2024-01-01 13:00:00", [30 + i for i in range(8)])]], first=1)
+    sums = rows_of(store.partials(), "value_sum", "rows")
+    assert (sum(r[0] for r in sums), sum(r[1] for r in sums)) == (sum(range(20, 28)) + sum(range(30, 38)), 16)
+    assert rows_of(store.batches("alerts"), "file_id", "kind", "batch_id") == [("a", "repeated_file", 1)]
