@@ -30,11 +30,11 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of earlier documents; a document of which nothing remains goes, and n_chars follows the text."""
-    cut = suffix_dedup.deduplicated(docs).where("n_removed > 0").select("doc_id", "kept")
-    joined = docs.join(cut, "doc_id", "left").where("kept IS NULL OR kept != ''")
-    text = F.coalesce("kept", "text")
-    length = F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.char_length("kept").cast("long"))
-    return joined.select("doc_id", text.alias("text"), "lang", "source", length.alias("n_chars"))
+    cut = suffix_dedup.deduplicated(docs.withColumn("no_text", F.isnull("text")), carry=["lang", "source", "n_chars", "no_text"])
+    changed = F.col("n_removed") > 0
+    length = F.when(changed, F.char_length("kept").cast("long")).otherwise(F.col("n_chars"))
+    left = cut.where(~changed | (F.col("kept") != ""))
+    return left.select("doc_id", F.when(~F.col("no_text"), F.col("kept")).alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,14 +18,14 @@ table gives an empty result; extra columns are ignored; texts of any length are
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlap.llm.common import BATCH_BYTES, by_bytes, map_arrow, mix, power_tables, release_shuffles, shuffle_width, stage
+from gridlap.llm.common import BATCH_BYTES, by_bytes, map_arrow, mix, new_folder, power_tables, release_shuffles, remove_folder, shuffle_width, stage
 
 LENGTH, GRAM, RUN = 50, 20, 64
 GROUP_ROWS = 200_000
@@ -332,43 +332,48 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, firsts, lasts): the places to remove of every document that has some."""
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
-    docs = docs.select("doc_id", "text")
-    wanted = stage(shared_stretches(docs, length), "shared")
-    release_shuffles(docs.sparkSession)
+    docs, spark = docs.select("doc_id", "text"), docs.sparkSession
+    release_shuffles(spark)
+    path = new_folder(spark, "shared")
+    shared_stretches(docs, length).write.parquet(path)
+    wanted = spark.read.schema("doc_id long, ordinal int").parquet(path)
+    release_shuffles(spark)
     places = stage(repeated_places(stretch_texts(docs, wanted, length), length), "places")
-    release_shuffles(docs.sparkSession)
+    remove_folder(spark, path)
+    release_shuffles(spark)
     grouped = places.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("p"))
     return grouped.select("doc_id", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"))
 
 
-def _each_document(docs: DataFrame, length: int, make, schema: str) -> DataFrame:
-    """Rows that ``make`` gives for the text, its bytes and its removed runs, with doc_id first."""
+def _each_document(docs: DataFrame, length: int, make, schema: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows of doc_id, what ``make`` gives for the text's bytes and its removed runs, and the columns ``carry`` of the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 firsts, lasts = part.column("firsts"), part.column("lasts")
                 rows = []
                 for k, raw in enumerate(_bytes_of(part.column("text").to_pylist())):
                     runs = merged(firsts[k].values.to_numpy(), lasts[k].values.to_numpy()) if firsts[k].is_valid else []
-                    rows.append((ids[lo + k], *make(raw, runs)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+                    rows.append(make(raw, runs))
+                made = [pa.array(c) for c in zip(*rows)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *made, *[part.column(c) for c in carry]], names=names)
 
-    names = [c.split()[0] for c in schema.split(", ")]
-    joined = docs.select("doc_id", "text").join(removed_runs(docs, length), "doc_id", "left")
-    return map_arrow(joined.select("doc_id", "text", "firsts", "lasts"), run, schema)
+    schema = ", ".join([schema, *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]])
+    names = [c.split()[0].strip("`") for c in schema.split(", ")]
+    joined = docs.select("doc_id", "text", *carry).join(removed_runs(docs, length), "doc_id", "left")
+    return map_arrow(joined.select("doc_id", "text", "firsts", "lasts", *carry), run, schema)
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, kept (the text without repeated passages, cut at whole characters), n_removed and n_spans of every row."""
+def deduplicated(docs: DataFrame, length: int = LENGTH, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, kept (the text without repeated passages, cut at whole characters), n_removed, n_spans and the columns ``carry`` of every row."""
 
     def make(raw: bytes, runs: list[tuple[int, int]]) -> tuple:
         runs = whole_characters(raw, runs)
         return kept_bytes(raw, runs).decode("utf-8", "replace"), sum(b - a for a, b in runs), len(runs)
 
-    return _each_document(docs, length, make, "doc_id long, kept string, n_removed long, n_spans long")
+    return _each_document(docs, length, make, "doc_id long, kept string, n_removed long, n_spans long", carry)
 
 
 def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
