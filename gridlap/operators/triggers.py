@@ -11,11 +11,12 @@ from ..functions.formulas import derived, derived_names
 from .marks import KEY, last_rows
 
 CONTEXT = ["robot_id", "x_dim", "y_dim", "obs_type"]
+SENDER = [*KEY, "robot_id"]
 
 
 def batch_context(readings: DataFrame) -> DataFrame:
-    """Robot, grid size and type per cycle and observable of a batch."""
-    return readings.groupBy(*KEY).agg(*[F.max(c).alias(c) for c in CONTEXT])
+    """Grid size and type per cycle, observable and robot of a batch."""
+    return readings.groupBy(*SENDER).agg(*[F.max(c).alias(c) for c in CONTEXT if c not in SENDER])
 
 
 def new_units(batch_cells: DataFrame, stored: DataFrame, tod_marks: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def _routed(events: DataFrame, routing: dict[str, str]) -> DataFrame:
 
 
 def time_triggers(units: DataFrame, context: DataFrame, with_derived: bool = True) -> DataFrame:
-    """Trigger rows: LATEST always, the others by flag, and one per derived observable that takes this one as an input."""
+    """Trigger rows per robot: LATEST always, the others by flag, and one per derived observable that takes this one as an input."""
 
     def event(kind: str, observable="observable_name"):
         name = F.col(observable) if observable == "observable_name" else F.lit(observable)

@@ -44,20 +44,25 @@ def ingest(store: Store, envelopes: DataFrame, controls: Controls, batch_id: int
     files = check_files(readings, index, controls.cycles, controls.robot_observable, envelope_manifest(envelopes))
     files = stage(files, "files")
     partials = stage(cell_partials(readings, files, index), "partials")
+    accepted = readings.join(files.filter("verdict IS NULL").select("file_id"), "file_id", "left_semi")
     side_by_side(
         lambda: store.put_batch("partials", partials, batch_id),
         lambda: store.put_batch("alerts", alerts.file_alerts(files).unionByName(repeated), batch_id),
         lambda: store.put_batch("ingest_audit", alerts.ingest_audit(files, F.col("last_time")), batch_id),
-        lambda: _put_triggers(store, partials, triggers.batch_context(readings), controls.counter, batch_id),
+        lambda: _put_triggers(store, partials, triggers.batch_context(accepted), controls.counter, batch_id),
     )
     units = store.batches("new_units").filter(F.col("batch_id") == batch_id)
     touched = partials.select("round_id", lap_slice(F.col("round_number")).alias("slice"))
-    closing = _closed_laps(units).select("round_id", lap_slice(F.col("round_number")).alias("slice"))
+    closing = _closed_laps(units.filter("is_known_cycle"), controls.counter).select("round_id", lap_slice(F.col("round_number")).alias("slice"))
     return stage(touched.unionByName(closing).distinct(), "touched")
 
 
-def _closed_laps(units: DataFrame) -> DataFrame:
-    return units.filter("is_new_round").select("round_id", (F.col("lap") - 1).alias("round_number")).distinct()
+def _closed_laps(units: DataFrame, counter: DataFrame) -> DataFrame:
+    """Laps of the counter that a batch closes: from the newest lap stored before it (of a new cycle: all) up to its own newest."""
+    reach = units.groupBy("round_id").agg(F.max("stored_lap").alias("_from"), F.max("lap").alias("_to"))
+    laps = counter.select("round_id", "round_number").join(reach, "round_id")
+    reached = F.col("_from").isNull() | (F.col("round_number") >= F.col("_from"))
+    return laps.filter(reached & (F.col("round_number") < F.col("_to"))).select("round_id", "round_number").distinct()
 
 
 def _put_triggers(store: Store, partials: DataFrame, context: DataFrame, counter: DataFrame, batch_id: int) -> None:
@@ -68,11 +73,13 @@ def _put_triggers(store: Store, partials: DataFrame, context: DataFrame, counter
     earlier = stage(finalise_cells(store.partials(partials.select("round_id").distinct(), before=batch_id)), "earlier")
     last = stage(marks.last_rows(earlier), "earlier-last")
     tod = rollups.last_closed_quadrant(earlier, last)
-    store.put_batch("new_units", triggers.new_units(finalise_cells(partials), last, tod), batch_id)
+    newest = last.groupBy("round_id").agg(F.max("last_round_number").alias("stored_lap"), F.lit(True).alias("is_known_cycle"))
+    units = triggers.new_units(finalise_cells(partials), last, tod).join(newest, "round_id", "left")
+    store.put_batch("new_units", units, batch_id)
     units = store.batches("new_units").filter(F.col("batch_id") == batch_id)
     side_by_side(
         lambda: store.put_batch("triggers", triggers.time_triggers(units, context), batch_id),
-        lambda: store.put_batch("alert_notification", invalidation.invalid_alerts(counter, _closed_laps(units)), batch_id),
+        lambda: store.put_batch("alert_notification", invalidation.invalid_alerts(counter, _closed_laps(units, counter)), batch_id),
     )
 
 

@@ -97,7 +97,7 @@ STORED_DDL = {
     "ingest_audit": "id string, robot_id string, round_id string, url string, `from` timestamp_ntz, `to` timestamp_ntz, "
     "observable_id string, created_by string",
     "new_units": "round_id string, observable_name string, lap int, day int, time timestamp_ntz, is_new_round boolean, "
-    "is_new_day boolean, is_new_time_of_day boolean, is_new_hourly_overview boolean",
+    "is_new_day boolean, is_new_time_of_day boolean, is_new_hourly_overview boolean, stored_lap int, is_known_cycle boolean",
     "triggers": "event_type string, round_id string, robot_id string, observable_name string, x_dim int, y_dim int, obs_type string, "
     "routing_key string",
 }

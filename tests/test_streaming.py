@@ -29,14 +29,14 @@ TABLES = {
 }
 
 
-def message(file_id, start, values, observable="temperature", kind="ambient_condition", round_id="007", minutes=3):
+def message(file_id, start, values, observable="temperature", kind="ambient_condition", round_id="007", minutes=3, robot="rb"):
     """A file with a reading every few minutes, walking over the grid."""
     lines = ["timestamp,x,y,z,value"]
     for i, v in enumerate(values):
         at = datetime.fromisoformat(start) + timedelta(minutes=minutes * i)
         lines.append(f'"{at:%Y-%m-%dT%H:%M:%SZ}",{i % 3}.4,{i % 2}.6,0.01,{v}')
     body = {
-        "file_content": "\n".join(lines) + "\n", "roundId": round_id, "robotId": "rb", "observableName": observable,
+        "file_content": "\n".join(lines) + "\n", "roundId": round_id, "robotId": robot, "observableName": observable,
         "observableId": observable, "dimension": {"dimX": 3, "dimY": 3}, "type": kind, "dataFile": file_id,
     }
     return json.dumps(body)
@@ -204,3 +204,47 @@ def test_a_file_sent_again_counts_once(spark, tmp_path, controls):
     sums = rows_of(store.partials(), "value_sum", "rows")
     assert (sum(r[0] for r in sums), sum(r[1] for r in sums)) == (sum(range(20, 28)) + sum(range(30, 38)), 16)
     assert rows_of(store.batches("alerts"), "file_id", "kind", "batch_id") == [("a", "repeated_file", 1)]
+
+
+def take_in(spark, root, controls, batches):
+    """The first step of a batch alone: partials, alerts, triggers."""
+    store = Store(spark, str(root))
+    for i, batch in enumerate(batches):
+        ingest(store, parse_envelopes(spark.createDataFrame([(m,) for m in batch], "value string")), controls, i)
+    return store
+
+
+def test_discarded_laps_do_not_depend_on_the_cut(spark, tmp_path, controls):
+    """Laps that a batch jumps over are closed too: the same alerts from one batch as from several."""
+    starts = counter(spark, ("007", "2024-01-01 09:12:00", 2, 0), ("007", "2024-01-02 17:12:00", 6, 0))
+    later = replace(controls, counter=controls.counter.unionByName(starts))
+    hours = ["01 01", "01 09", "01 17", "02 01", "02 17", "03 09"]
+    files = [message(f"f{h}", f"2024-01-{h}:00:00", [20 + i for i in range(8)]) for h in hours]
+    one = take_in(spark, tmp_path / "one", later, [files])
+    cut = take_in(spark, tmp_path / "cut", later, [files[:2], files[2:4], files[4:]])
+    expected = [("007", datetime(2024, 1, 1, 9, 12)), ("007", datetime(2024, 1, 2, 17, 12))]
+    for store in (one, cut):
+        assert rows_of(store.batches("alert_notification"), "robot_id", "time") == expected
+
+
+def test_a_jump_retracts_the_laps_between(spark, tmp_path, controls):
+    """The counter learns of an invalid start late, and the next batch jumps beyond the lap and its slice."""
+    far = counter(spark, *[("007", f"2024-01-{d:02d} 00:00:00", d + 8, 1) for d in range(5, 20)])
+    known = replace(controls, counter=controls.counter.unionByName(far))
+    late = datetime(2024, 1, 2, 9, 12)
+    later = replace(known, counter=known.counter.unionByName(counter(spark, ("007", str(late), 5, 0))))
+    first = message("a", "2024-01-02 10:00:00", [20 + i for i in range(8)])
+    store = run(spark, tmp_path, known, [[first]])
+    assert rows_of(store.read("cells"), "round_number")
+    store = run(spark, tmp_path, later, [[message("c", "2024-01-15 10:00:00", [20 + i for i in range(8)])]], first=1)
+    assert {r[0] for r in rows_of(store.read("cells"), "round_number")} == {23}
+    assert rows_of(store.batches("alert_notification"), "batch_id", "time") == [(1, late)]
+
+
+def test_every_robot_of_an_accepted_file_gets_triggers(spark, tmp_path, controls):
+    pairs = sensors(spark, ("rb", "temperature"), ("rc", "temperature"), ("rz", "humidity"))
+    values = [20 + i for i in range(8)]
+    files = [message(f"f{r}", "2024-01-01 09:00:00", values, robot=r) for r in ("rb", "rc", "rz")]  # rz does not carry the sensor
+    store = take_in(spark, tmp_path, replace(controls, robot_observable=pairs), [files])
+    latest = store.batches("triggers").filter("event_type = 'LATEST'")
+    assert rows_of(latest, "robot_id", "observable_name") == [("rb", "temperature"), ("rc", "temperature")]
