@@ -1,10 +1,11 @@
 """Similarity join on word shingles by chosen paths.
 
 Texts are sets of hashed five-word shingles. In each run every set picks the shared tokens for which a hash of (path, token) falls below
-``1 / (overlap * size)``, about one; sets that pick a token meet below it. A bucket of more than ``LIMIT`` sets is split again, with hashes that
-depend on its path, up to ``DEPTH`` levels, and small buckets are compared exactly. Two sets at the threshold share a picked token with
-probability ``1 - 1/e`` per level, so the number of runs follows from the target recall. Buckets that splitting does not make small, such as a
-large group of near copies, are compared in pairs of blocks, whole.
+``1 / (overlap * size)``, about one, and where there is none the token of the least hash; sets that pick a token meet below it. A bucket of more
+than ``LIMIT`` sets is split again, with hashes that depend on its path, up to ``DEPTH`` levels, and small buckets are compared exactly. As every set
+picks something in every bucket, no path dies out for a whole group of near copies. Two sets of any sizes share the token of the least hash with
+a probability of their similarity per level, so the number of runs follows from the target recall. Buckets that splitting does not make
+small, and those of which most sets are near copies, are compared in pairs of blocks, whole.
 
 Rows with the same set are one set with a number of copies, so copies are counted and never paired.
 
@@ -33,12 +34,13 @@ COLUMNS = 4096
 SET_SCHEMA = "doc_id long, n long, f1 long, f2 long, l1 array<long>, l2 array<struct<parent:long,child:long>>, l3 array<struct<parent:long,child:long>>"
 
 
-def runs_for(recall: float, depth: int = DEPTH) -> int:
-    """Runs after which two sets at the threshold have met with probability ``recall``, even where all their buckets are split to the end."""
-    meet = 0.0
-    for level in range(depth):
-        meet = 1 - math.exp(-1.0) if level == 0 else 1 - math.exp(-meet)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+def runs_for(recall: float, depth: int = DEPTH, threshold: float = THRESHOLD) -> int:
+    """Runs after which two sets at the threshold have met with probability ``recall``, even where all their buckets are split to the end.
+
+    Counts only the token of the least hash in both sets together: it is shared, and then picked by both, with a probability of the
+    similarity, whatever the ratio of the sizes. The further picks come on top.
+    """
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
 
 
 def token_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -49,10 +51,13 @@ def token_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 
 def _picked(path: int, tokens: np.ndarray, limit: int) -> np.ndarray:
-    """Paths below ``path`` for the tokens that its hash picks."""
+    """Paths below ``path`` for the tokens that its hash picks: those below ``limit``, or else the one of the least hash."""
     seed = np.uint64(path)
-    chosen = tokens[((tokens ^ seed) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(24) < np.uint64(limit)]
-    return mix(chosen + (seed << np.uint64(1)) + np.uint64(1)) if len(chosen) else chosen
+    hashes = (tokens ^ seed) * np.uint64(0x9FB21C651E98DF25)
+    chosen = tokens[hashes >> np.uint64(24) < np.uint64(limit)]
+    if not len(chosen):
+        chosen = tokens[[hashes.argmin()]]
+    return mix(chosen + (seed << np.uint64(1)) + np.uint64(1))
 
 
 def chosen_paths(tokens: np.ndarray, runs: int, threshold: float) -> list[list]:
@@ -104,20 +109,36 @@ def describe_sets(docs: DataFrame, runs: int, threshold: float = THRESHOLD) -> D
     return map_arrow(docs.select("doc_id", "text"), run, SET_SCHEMA)
 
 
+def near_copies(sizes: DataFrame, parents: DataFrame) -> DataFrame:
+    """The split buckets whose sets are mostly near copies: at least four fifths of what they pick is picked by at least half of them.
+
+    Sets that have only a common passage pick other tokens besides those of the passage.
+    """
+    picks = sizes.join(parents.select(F.col("bucket").alias("parent"), F.col("n").alias("whole")), "parent")
+    common = F.sum(F.when(F.col("n") * 2 >= F.col("whole"), F.col("n")).otherwise(0))
+    return picks.groupBy("parent").agg(common.alias("common"), F.sum("n").alias("all")).where("common * 5 >= all * 4").select(F.col("parent").alias("bucket"))
+
+
 def leaf_buckets(sets: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Distinct (id, bucket): each path goes down until its bucket holds at most ``limit`` sets or the levels end."""
-    leaves, too_large = [], None
+    """Distinct (id, bucket): each path goes down until its bucket holds at most ``limit`` sets, or near copies, or the levels end."""
+    leaves, above, too_large = [], None, None
     for level in range(1, DEPTH + 1):
         if level == 1:
-            rows = sets.select("id", F.explode("l1").alias("bucket")).distinct()
+            rows = sets.select("id", F.lit(0).cast("long").alias("parent"), F.explode("l1").alias("bucket")).distinct()
         else:
             edges = sets.select("id", F.explode(f"l{level}").alias("e")).select("id", F.col("e.parent").alias("parent"), F.col("e.child").alias("bucket"))
-            rows = edges.join(too_large.withColumnRenamed("bucket", "parent"), "parent", "left_semi").select("id", "bucket").distinct()
+            rows = edges.join(too_large.select(F.col("bucket").alias("parent")), "parent", "left_semi").select("id", "parent", "bucket").distinct()
         rows = stage(rows, f"paths-{level}")
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))
+        sizes = rows.groupBy("bucket").agg(F.min("parent").alias("parent"), F.count("*").alias("n"))
+        if level > 1:
+            sizes = stage(sizes, f"sizes-{level}")
+            alike = stage(near_copies(sizes, too_large), f"alike-{level}")
+            leaves.append(above.join(alike, "bucket", "left_semi").select("id", "bucket"))
+            sizes = sizes.join(alike.withColumnRenamed("bucket", "parent"), "parent", "left_anti")
         small = sizes.where("n > 1") if level == DEPTH else sizes.where(f"n > 1 AND n <= {limit}")
         leaves.append(rows.join(small.select("bucket"), "bucket", "left_semi").select("id", "bucket"))
-        too_large = sizes.where(f"n > {limit}").select("bucket")
+        if level < DEPTH:
+            above, too_large = rows, stage(sizes.where(f"n > {limit}").select("bucket", "n"), f"large-{level}")
     out = leaves[0]
     for more in leaves[1:]:
         out = out.union(more)
@@ -161,7 +182,7 @@ def similar_sets(threshold: float):
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest doc_id that links reach) and n_links (other documents with at least the threshold) of every row."""
     docs = docs.select("doc_id", "text")
-    described = stage(describe_sets(docs, runs_for(recall), threshold), "sets")
+    described = stage(describe_sets(docs, runs_for(recall, threshold=threshold), threshold), "sets")
     known = described.where("doc_id IS NOT NULL AND n > 0")
     groups = known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count_distinct("doc_id").alias("copies"))
     groups = stage(groups, "groups").dropDuplicates(["id"])
