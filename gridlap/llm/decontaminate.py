@@ -6,9 +6,12 @@ blocks: two fingerprints within ``RADIUS`` agree in one block up to a quarter of
 enough to find every fingerprint within the radius. What is found is verified by the weighted Jaccard similarity (each shingle counts as often as it
 occurs) of five-word shingles between the whole item and the window of its length.
 
+Windows that the text's end cuts short, which may be shorter than the class and are all there is of a text shorter than its item, are searched
+exactly: of the shingles of an item more than a fifth, the rarest, are in an index, and a window without any of those is below the threshold.
+
 Items are given to the tasks in passes of at most ``ITEMS`` items, so what is sent is bounded; documents are never shuffled.
 
-Edge cases: items that are null or have fewer than five words are not searched; null, empty and short texts match nothing; repeated items and
+Edge cases: items that are null or have fewer than five words are not searched; null and empty texts and texts of fewer than five words match nothing; repeated items and
 repeated rows are answered each; at a document's end the window is cut; of several places the most similar, then the first, is reported; empty
 tables give an empty result; extra columns are ignored; texts of any length are read whole.
 """
@@ -126,9 +129,74 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.minimum(left, right).sum() / np.maximum(left, right).sum())
 
 
-def search(words: np.ndarray, begins: np.ndarray, items: list[np.ndarray], grams: list[np.ndarray], index: dict[int, ClassIndex]) -> dict[tuple[int, int], tuple]:
-    """Best place (similarity, first word, words) per (text, item) in some texts given as word hashes."""
+@dataclass
+class RareShingles:
+    """Shingles of which a window similar to an item has at least one, sorted, with the item of each."""
+
+    values: np.ndarray
+    items: np.ndarray
+
+
+def build_rare(grams: list[np.ndarray]) -> RareShingles:
+    """For each item its rarest shingles, so many (counted as often as they occur) that without them the threshold is out of reach."""
+    usable = [k for k, g in enumerate(grams) if len(g)]
+    if not usable:
+        return RareShingles(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    _, at, times = np.unique(np.concatenate([grams[k] for k in usable]), return_inverse=True, return_counts=True)
+    often = np.split(times[at], np.cumsum([len(grams[k]) for k in usable])[:-1])
+    rare = []
+    for k, n in zip(usable, often):
+        own = grams[k][np.lexsort([grams[k], n])]
+        rare.append(np.unique(own[: int((1 - THRESHOLD) * len(own) + 1e-9) + 1]))
+    values, items = np.concatenate(rare), np.repeat(usable, [len(r) for r in rare])
+    order = np.argsort(values, kind="stable")
+    return RareShingles(values[order], items[order])
+
+
+def cut_windows(words: np.ndarray, begins: np.ndarray, items: list[np.ndarray], grams: list[np.ndarray], rare: RareShingles) -> dict[tuple[int, int], tuple]:
+    """Best place (similarity, first word, words) per (text, item) among the windows that the end of their text cuts to fewer words than the item has."""
     best: dict[tuple[int, int], tuple] = {}
+    if len(words) < WORDS or not len(rare.values):
+        return best
+    all_grams = shingles(words, WORDS)
+    lengths = np.array([len(w) for w in items])
+    ends = begins[1:][np.diff(begins) >= WORDS]
+    reach = np.minimum(np.diff(begins)[np.diff(begins) >= WORDS], lengths.max() - 1) - WORDS + 1  # shingles of the longest cut window
+    if not len(ends) or reach.max() < 1:
+        return best
+    stops = np.cumsum(reach)
+    places = np.arange(stops[-1]) + np.repeat(ends - WORDS + 1 - stops, reach)
+    found = all_grams[places]
+    lo, hi = (np.searchsorted(rare.values, found, side=side) for side in ("left", "right"))
+    at = np.flatnonzero(hi > lo)
+    if not len(at):
+        return best
+    count = (hi - lo)[at]
+    upto = np.cumsum(count)
+    which = rare.items[np.repeat(lo[at] - (upto - count), count) + np.arange(upto[-1])]
+    place = np.repeat(places[at], count)
+    text = np.searchsorted(begins, place, side="right") - 1
+    near = place > begins[text + 1] - lengths[which]
+    both = np.unique(text[near] * np.int64(len(items)) + which[near])
+    for t, k in zip((both // len(items)).tolist(), (both % len(items)).tolist()):
+        begin, end, m = int(begins[t]), int(begins[t + 1]), len(grams[k])
+        first = max(begin, end - len(items[k]) + 1)
+        own = all_grams[first : end - WORDS + 1]
+        shared = np.cumsum(np.isin(own, grams[k])[::-1])[::-1]  # of the window from each place on, an upper bound of what is in common
+        bound = shared / np.maximum(m, np.arange(len(own), 0, -1) + m - shared)
+        for p in np.argsort(-bound, kind="stable").tolist():
+            if bound[p] < THRESHOLD - 1e-12 or ((t, k) in best and bound[p] < best[t, k][0]):
+                break
+            similarity = weighted_similarity(own[p:], grams[k])
+            if similarity >= THRESHOLD - 1e-12:
+                here = (similarity, -(first + p - begin), end - first - p)
+                best[t, k] = max(best.get((t, k), here), here)
+    return best
+
+
+def search(words: np.ndarray, begins: np.ndarray, items: list[np.ndarray], grams: list[np.ndarray], index: dict[int, ClassIndex], rare: RareShingles) -> dict[tuple[int, int], tuple]:
+    """Best place (similarity, first word, words) per (text, item) in some texts given as word hashes."""
+    best = cut_windows(words, begins, items, grams, rare)
     tried: set[tuple[int, int, int]] = set()
     longest = max(index, default=0)
     for lo in range(0, len(words), STRIDE) if index else ():
@@ -178,12 +246,12 @@ def _one_pass(docs: DataFrame, rows: list) -> DataFrame:
         words, at = hashed_words(texts)
         items = [words[a:b] for a, b in zip(at[:-1], at[1:])]
         grams = [shingles(w, WORDS) for w in items]
-        index = build_index(items)
+        index, rare = build_index(items), build_rare([g if len(w) >= WORDS else g[:0] for w, g in zip(items, grams)])
         for batch in batches:
             doc_ids, values = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             found = []
             for lo, hi in by_bytes(values, 1 << 19):
-                for (t, k), (similarity, first, n) in sorted(search(*hashed_words(values[lo:hi]), items, grams, index).items()):
+                for (t, k), (similarity, first, n) in sorted(search(*hashed_words(values[lo:hi]), items, grams, index, rare).items()):
                     found.append((doc_ids[lo + t], ids[k], similarity, -first, n))
             columns = list(zip(*found)) if found else [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())

@@ -30,6 +30,37 @@ def test_planted_items_are_found_and_clean_texts_are_not(spark, frame, items, pr
     assert set(found) - set(same) == {(32, 32), (33, 44)}
 
 
+def by_all_windows(texts, items):
+    """{(text, item): (similarity, first word, words)} of the best of all windows."""
+    words, at = hashed_words(texts)
+    own, ends = hashed_words(items)
+    out = {}
+    for t in range(len(texts)):
+        for k in range(len(items)):
+            text, item = words[at[t] : at[t + 1]], own[ends[k] : ends[k + 1]]
+            for first in range(len(text) - dc.WORDS + 1):
+                window = text[first : first + len(item)]
+                similarity = dc.weighted_similarity(shingles(window, dc.WORDS), shingles(item, dc.WORDS))
+                if similarity >= dc.THRESHOLD - 1e-12 and (similarity, -first) > out.get((t, k), (0, 0))[:2]:
+                    out[t, k] = (similarity, -first, len(window))
+    return {pair: (similarity, -first, n) for pair, (similarity, first, n) in out.items()}
+
+
+def test_truncated_items_that_stand_alone(spark, frame, prose):
+    """Items of class sizes and others, less some words at the end, at the start, or on both sides, alone or at the end of a text."""
+    sizes = (5, 6, 9, 19, 22, 26, 31, 37, 39, 44, 52, 55)
+    items = [prose(2000 + n, n) for n in sizes] + ["again and " * 25, prose(2044, 44) + " and more"]
+    texts = []
+    for item in items:
+        words = item.split()
+        for cut in range(1, 8):
+            texts += [" ".join(w) for w in (words[:-cut], words[cut:], words[cut // 2 : -cut], [*prose(cut, 30).split(), *words[:-cut]])]
+    expected = by_all_windows(texts, items)
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (pytest.approx(r.similarity), r.first_word, r.n_words) for r in dc.contaminated(frame(enumerate(texts)), table).collect()}
+    assert found == expected and len(expected) > 100
+
+
 def test_several_passes_agree(frame, items, prose):
     texts = {r.item_id: r.text for r in items.collect()}
     docs = frame([(k, prose(k, 50) + " " + texts[k]) for k in range(10)])
