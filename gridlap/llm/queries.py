@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from gridlap.llm import byte_bpe, chat, decontaminate, embedding_dups, jaccard_join, language_id, quality, suffix_dedup, token_counts, warc
+from gridlap.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    embedding_dups,
+    jaccard_join,
+    language_id,
+    period_runs,
+    quality,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op12_period_runs": period_runs.op12_period_runs,
 }
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
