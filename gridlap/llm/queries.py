@@ -12,6 +12,7 @@ from gridlap.llm import (
     period_runs,
     quality,
     suffix_dedup,
+    token_alignment,
     token_counts,
     warc,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     "op12_period_runs": period_runs.op12_period_runs,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
