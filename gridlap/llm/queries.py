@@ -10,6 +10,7 @@ from gridlap.llm import (
     jaccard_join,
     language_id,
     period_runs,
+    perplexity,
     quality,
     suffix_dedup,
     token_alignment,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_perplexity_rules": perplexity.op11_perplexity_rules,
     "op12_period_runs": period_runs.op12_period_runs,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
