@@ -2,14 +2,14 @@
 
 Writing: each page becomes a response record, or a revisit record where a later page has the same payload of at least 1000 bytes. A
 block longer than ``segment_bytes`` goes on in continuation records. Archives are gzip text files whose record terminator is the line
-separator, so Spark's own writer puts them on any file system.
-Reading: records are cut by their Content-Length, segments are grouped by the identifier of their first record, put in order, checked
-for gaps and against the total length, joined, and the chunked framing is undone.
+separator, so Spark's own writer puts them on any file system; a file holds about ``ARCHIVE_BYTES`` at most. A revisit names its response by identifier.
+Reading: records are cut by their Content-Length. A record in one piece is decoded where it is read; only segments are shuffled, grouped by the
+identifier of their first record, put in order, checked for gaps and against the total length, joined, and the chunked framing is undone.
 
 Edge cases: a null html is the empty payload; a null page_id stays null and such a page never is the one that others revisit; repeated rows
-are records of their own, and rows that share the largest page_id of a payload are all responses; a record with missing segments, a wrong
+are records of their own, and rows that share the largest page_id of a payload are all responses, whose revisits are resolved by digest; a record with missing segments, a wrong
 total length or broken framing is returned with ``complete`` false and a null payload; an empty table gives no archive and no rows; extra
-columns are ignored. One record must fit in memory; an archive is read as a stream.
+columns are ignored. One record and one compressed archive file must fit in memory; a file's records are unpacked as a stream.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,7 @@ from gridlap.llm.common import map_arrow, new_folder, stage
 REVISIT_BYTES = 1000
 SEGMENT_BYTES = 32_768
 CHUNK_BYTES = 8_192
-RECORDS_PER_FILE = 50_000
+ARCHIVE_BYTES = 64 << 20
 END = "\r\n\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 RECORD_SCHEMA = "record_id string, url string, record_type string, refers_to string, digest string, segment int, total_length long, block binary"
@@ -73,7 +74,7 @@ def unchunked(body: bytes) -> bytes | None:
         at += size + 2
 
 
-def record_texts(record_id: str, url: str | None, digest: str, payload: bytes, refers_to: str | None, segment_bytes: int, chunk_bytes: int) -> Iterator[str]:
+def record_texts(record_id: str, url: str | None, digest: str, payload: bytes, refers_to: str | None, date: str, segment_bytes: int, chunk_bytes: int) -> Iterator[str]:
     """The records of one page without their terminators."""
     kind = "response" if refers_to is None else "revisit"
     block = HTTP_HEAD + chunked(payload, chunk_bytes) if refers_to is None else HTTP_HEAD
@@ -81,6 +82,7 @@ def record_texts(record_id: str, url: str | None, digest: str, payload: bytes, r
     for number, end in enumerate(ends, 1):
         head = ["WARC/1.1", f"WARC-Type: {kind if number == 1 else 'continuation'}"]
         head.append(f"WARC-Record-ID: {record_id if number == 1 else record_id[:-1] + f';segment={number}>'}")
+        head.append(f"WARC-Date: {date}")
         if number == 1:
             head += [f"WARC-Target-URI: {' '.join((url or '').split())}", f"WARC-Payload-Digest: sha1:{digest}"]
             head += [f"WARC-Refers-To: {refers_to}"] if refers_to else []
@@ -97,20 +99,24 @@ def record_texts(record_id: str, url: str | None, digest: str, payload: bytes, r
 def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Write all pages (page_id, url, html) as gzip WARC files into ``folder``."""
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
-    long_rows = rows.where(F.length("payload") >= REVISIT_BYTES).select("digest", "page_id")
-    last = long_rows.groupBy("digest").agg(F.max("page_id").alias("last_page"), F.count("*").alias("n")).where("n > 1")
-    rows = rows.join(last.select(F.col("digest").alias("last_digest"), "last_page"), (F.col("digest") == F.col("last_digest")) & (F.length("payload") >= REVISIT_BYTES), "left")
-    revisit = F.col("last_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last_page"))
+    # Digests alone are shuffled here; the payloads too only where the table of shared ones is too large for the planner to broadcast.
+    per_page = rows.where(F.length("payload") >= REVISIT_BYTES).groupBy("digest", "page_id").agg(F.count("*").alias("n"))
+    shared = per_page.groupBy("digest").agg(F.max(F.struct("page_id", "n")).alias("last"), F.sum("n").alias("n")).where("n > 1 AND last.page_id IS NOT NULL")
+    shared = stage(shared.select(F.col("digest").alias("last_digest"), F.col("last.page_id").alias("last_page"), (F.col("last.n") == 1).alias("is_alone")), "shared-payloads")
+    rows = rows.join(shared, (F.col("digest") == F.col("last_digest")) & (F.length("payload") >= REVISIT_BYTES), "left")
+    is_last = F.col("page_id").eqNullSafe(F.col("last_page"))
+    mark = F.when(is_last & F.col("is_alone"), F.col("digest")).otherwise(F.monotonically_increasing_id().cast("string"))
     rows = rows.select(
-        F.format_string("<urn:page:%s:%s>", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.monotonically_increasing_id().cast("string")).alias("record_id"),
-        "url", "digest", "payload", F.when(revisit, F.format_string("<urn:page:%s>", F.col("last_page").cast("string"))).alias("refers_to"),
+        F.format_string("<urn:page:%s:%s>", F.coalesce(F.col("page_id").cast("string"), F.lit("")), mark).alias("record_id"), "url", "digest", "payload",
+        F.when(F.col("last_page").isNotNull() & ~is_last, F.format_string("<urn:page:%s:%s>", F.col("last_page").cast("string"), "digest")).alias("refers_to"),
     )
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, size = [], 0
             for row in batch.to_pylist():
-                for text in record_texts(row["record_id"], row["url"], row["digest"], row["payload"], row["refers_to"], segment_bytes, chunk_bytes):
+                for text in record_texts(row["record_id"], row["url"], row["digest"], row["payload"], row["refers_to"], date, segment_bytes, chunk_bytes):
                     out.append(text)
                     size += len(text)
                 if size > 4 << 20:
@@ -119,7 +125,7 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     records = map_arrow(rows, run, "value string")
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max(1, ARCHIVE_BYTES // segment_bytes)).text(folder)
 
 
 def parse_archive(stream: io.BufferedIOBase) -> Iterator[dict]:
@@ -166,45 +172,53 @@ def read_segments(spark: SparkSession, folder: str) -> DataFrame:
     return map_arrow(files, run, RECORD_SCHEMA)
 
 
+ASSEMBLED = "record_id string, url string, record_type string, refers_to string, digest string, payload binary, complete boolean"
+_KEPT = ["record_id", "url", "record_type", "refers_to", "digest"]
+
+
+def decoded(block: bytes, record_type: str | None, is_whole: bool) -> tuple[bytes | None, bool]:
+    """Payload of a response, and whether the record is complete."""
+    head, mark, body = block.partition(b"\r\n\r\n")
+    payload = None
+    if is_whole and mark and record_type == "response":
+        payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+    return payload, bool(is_whole and (payload is not None or record_type == "revisit"))
+
+
 def assemble(segments: DataFrame) -> DataFrame:
     """One row per record: record_id, url, record_type, refers_to, digest, payload, complete.
 
     Segments come in any order. All numbers from 1 to the last must be there once, and the joined length must be the one stated.
     """
-    grouped = segments.groupBy("record_id").agg(
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                yield finish(part, part.column("block").to_pylist(), [True] * part.num_rows)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                blocks = [b"".join(row) for row in part.column("blocks").to_pylist()]
+                stated = zip(part.column("in_order").to_pylist(), part.column("total_length").to_pylist(), blocks)
+                yield finish(part, blocks, [bool(in_order and total == len(block)) for in_order, total, block in stated])
+
+    def finish(part: pa.RecordBatch, blocks: list[bytes], is_whole: list[bool]) -> pa.RecordBatch:
+        payloads, complete = zip(*map(decoded, blocks, part.column("record_type").to_pylist(), is_whole)) if blocks else ((), ())
+        return pa.RecordBatch.from_arrays([*(part.column(c) for c in _KEPT), pa.array(payloads, pa.binary()), pa.array(complete, pa.bool_())], names=[*_KEPT, "payload", "complete"])
+
+    grouped = segments.where("segment > 0").groupBy("record_id").agg(
         F.sort_array(F.collect_list(F.struct("segment", "record_type", "url", "refers_to", "digest", "total_length", "block"))).alias("parts")
     )
-    numbers = F.transform("parts", lambda p: p["segment"])
     first, last = F.col("parts")[0], F.element_at("parts", -1)
-    single = (F.size("parts") == 1) & (first["segment"] == 0)
-    in_order = numbers == F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1)))
-    joined = grouped.select(
-        "record_id", first["url"].alias("url"), first["record_type"].alias("record_type"), first["refers_to"].alias("refers_to"),
-        first["digest"].alias("digest"), (single | in_order).alias("in_order"), last["total_length"].alias("total_length"), single.alias("single"),
+    in_order = F.transform("parts", lambda p: p["segment"]) == F.sequence(F.lit(1), F.size("parts"))
+    parts = grouped.select(
+        "record_id", *(first[c].alias(c) for c in _KEPT[1:]), in_order.alias("in_order"), last["total_length"].alias("total_length"),
         F.transform("parts", lambda p: p["block"]).alias("blocks"),
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                payloads, complete = [], []
-                for row in part.select(["in_order", "total_length", "single", "blocks", "record_type"]).to_pylist():
-                    block = b"".join(row["blocks"])
-                    right = row["in_order"] and (row["single"] or row["total_length"] == len(block))
-                    head, mark, body = block.partition(b"\r\n\r\n")
-                    payload = None
-                    if right and mark and row["record_type"] == "response":
-                        payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-                    payloads.append(payload)
-                    complete.append(bool(right and (payload is not None or row["record_type"] == "revisit")))
-                keep = [part.column(c) for c in ("record_id", "url", "record_type", "refers_to", "digest")]
-                yield pa.RecordBatch.from_arrays(
-                    [*keep, pa.array(payloads, pa.binary()), pa.array(complete)],
-                    names=["record_id", "url", "record_type", "refers_to", "digest", "payload", "complete"],
-                )
-
-    return map_arrow(joined, run, "record_id string, url string, record_type string, refers_to string, digest string, payload binary, complete boolean")
+    return map_arrow(segments.where("segment = 0").select(*_KEPT, "block"), whole, ASSEMBLED).union(map_arrow(parts, joined, ASSEMBLED))
 
 
 def page_id_of(record_id: Column) -> Column:
@@ -215,20 +229,27 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through archives: written, read back, reassembled; the payload of a revisit is that of the record it refers to."""
     folder = new_folder(spark, "warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    records = assemble(read_segments(spark, folder)).select(
-        page_id_of(F.col("record_id")).alias("page_id"), "record_type", page_id_of(F.col("refers_to")).alias("refers_to"), "digest",
-        F.length("payload").cast("long").alias("own_bytes"), F.sha1("payload").alias("own_digest"), "complete",
-    )
-    return with_targets(stage(records, "records"))
+    return with_targets(described(assemble(read_segments(spark, folder))))
+
+
+def described(records: DataFrame) -> DataFrame:
+    """Records without their payloads: record_id, record_type, refers_to, digest, own_bytes, own_digest, complete."""
+    own = [F.length("payload").cast("long").alias("own_bytes"), F.sha1("payload").alias("own_digest")]
+    return stage(records.select("record_id", "record_type", "refers_to", "digest", *own, "complete"), "records")
 
 
 def with_targets(records: DataFrame) -> DataFrame:
-    """Sizes of revisits come from the responses they name: (page_id, payload_bytes, payload_digest, record_type, refers_to, complete)."""
-    # A revisit has the digest of its response, so both meet without a second look at any payload.
-    targets = records.where("record_type = 'response' AND own_bytes IS NOT NULL").groupBy(F.col("own_digest").alias("digest")).agg(F.max("own_bytes").alias("target_bytes"))
-    return records.join(targets, "digest", "left").select(
-        "page_id", F.coalesce("own_bytes", "target_bytes").alias("payload_bytes"), F.coalesce("own_digest", "digest").alias("payload_digest"),
-        "record_type", "refers_to", "complete",
+    """Sizes of revisits come from the responses they name: (page_id, payload_bytes, payload_digest, record_type, refers_to, complete).
+
+    A response that several rows share has no identifier of its own; its revisits are resolved by digest.
+    """
+    targets = records.where("record_type = 'response' AND own_bytes IS NOT NULL")
+    named = targets.groupBy(F.col("record_id").alias("refers_to")).agg(F.max("own_bytes").alias("named_bytes"), F.max("own_digest").alias("named_digest"))
+    alike = targets.groupBy(F.col("own_digest").alias("digest")).agg(F.max("own_bytes").alias("alike_bytes"))
+    out = records.join(named, "refers_to", "left").join(alike, "digest", "left")
+    return out.select(
+        page_id_of(F.col("record_id")).alias("page_id"), F.coalesce("own_bytes", "named_bytes", "alike_bytes").alias("payload_bytes"),
+        F.coalesce("own_digest", "named_digest", "digest").alias("payload_digest"), "record_type", page_id_of(F.col("refers_to")).alias("refers_to"), "complete",
     )
 
 

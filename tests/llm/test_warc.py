@@ -35,18 +35,24 @@ def test_revisits(spark):
     long, short = "a" * 1000, "a" * 999
     rows = [(1, "u", long), (5, "u", long), (3, "u", long), (5, "u", long), (2, "u", short), (4, "u", short), (None, "u", long), (9, "u", "é" * 499 + "ab")]
     records, _ = round_trip(spark, rows)
-    out = warc.with_targets(
-        records.select(
-            warc.page_id_of(records.record_id).alias("page_id"), "record_type", warc.page_id_of(records.refers_to).alias("refers_to"), "digest",
-            warc.F.length("payload").cast("long").alias("own_bytes"), warc.F.sha1("payload").alias("own_digest"), "complete",
-        )
-    ).collect()
+    out = warc.with_targets(warc.described(records)).collect()
     assert sorted((str(r.page_id), r.record_type, r.refers_to, r.payload_bytes) for r in out) == sorted(
         [("1", "revisit", 5, 1000), ("3", "revisit", 5, 1000), ("5", "response", None, 1000), ("5", "response", None, 1000), ("2", "response", None, 999),
          ("4", "response", None, 999), ("None", "revisit", 5, 1000), ("9", "response", None, 1000)]
     )
 
 
+def test_revisits_name_a_record_that_exists(spark):
+    rows = [(k, "u", "a" * 1500 + str(k % 3)) for k in range(30)] + [(99, "u", "b" * 90_000), (98, "u", "b" * 90_000)]
+    records, folder = round_trip(spark, rows, segment_bytes=7_000)
+    found = records.collect()
+    responses = {r.record_id: r.digest for r in found if r.record_type == "response"}
+    revisits = [r for r in found if r.record_type == "revisit"]
+    assert len(responses) == 4 and len(revisits) == 28 and all(responses[r.refers_to] == r.digest for r in revisits)
+    heads = b"".join(gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").load(folder).collect())
+    assert heads.count(b"\r\nWARC-Date: 20") == heads.count(b"WARC/1.1\r\n")
+
+
 def test_damaged_records_are_marked(spark):
     block = warc.HTTP_HEAD + warc.chunked(b"hello", 3)
     whole = ("u", "response", None, "d")
