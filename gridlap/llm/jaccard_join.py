@@ -10,7 +10,8 @@ small, and those of which most sets are near copies, are compared in pairs of bl
 Rows with the same set are one set with a number of copies, so copies are counted and never paired.
 
 Edge cases: a text of one to four words is one shingle of them all; null and empty texts and texts without words link with nothing and are
-their own class; rows that repeat a doc_id are one document in the links and each is returned; a null doc_id stays alone, with class null; an
+their own class; rows that repeat a doc_id with one text are one document in the links, with different texts one in the links of each, and every
+row is returned; a null doc_id stays alone, with class null; an
 empty table gives an empty result; extra columns are ignored; texts of any length are read whole.
 """
 
@@ -50,6 +51,12 @@ def token_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
         yield np.unique(shingles(words[lo:hi], WORDS))
 
 
+def prints(tokens: np.ndarray) -> tuple[int, int]:
+    """128-bit fingerprint of a set, as two signed numbers."""
+    sums = np.array([mix(tokens).sum(dtype=np.uint64), mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)], dtype=np.uint64)
+    return tuple(sums.view(np.int64).tolist())
+
+
 def _picked(path: int, tokens: np.ndarray, limit: int) -> np.ndarray:
     """Paths below ``path`` for the tokens that its hash picks: those below ``limit``, or else the one of the least hash."""
     seed = np.uint64(path)
@@ -94,15 +101,15 @@ def describe_sets(docs: DataFrame, runs: int, threshold: float = THRESHOLD) -> D
         for batch in batches:
             doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             for lo, hi in by_bytes(texts):
-                sizes, prints, levels = [], [], [[], [], []]
+                sizes, marks, levels = [], [], [[], [], []]
                 for tokens in token_sets(texts[lo:hi]):
                     sizes.append(len(tokens))
-                    prints.append((int(mix(tokens).sum(dtype=np.uint64)), int(mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))))
+                    marks.append(prints(tokens))
                     for level, paths in zip(levels, chosen_paths(tokens, runs, threshold) if len(tokens) else [[], [], []]):
                         level.append(paths)
                 first = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, levels[0])]), pa.int32()), pa.array(_signed([p for row in levels[0] for p in row])))
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(lo, hi - lo), pa.array(sizes, pa.int64()), *(pa.array(_signed([f[k] for f in prints])) for k in (0, 1)), first, _pairs_array(levels[1]), _pairs_array(levels[2])],
+                    [doc_ids.slice(lo, hi - lo), pa.array(sizes, pa.int64()), *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)), first, _pairs_array(levels[1]), _pairs_array(levels[2])],
                     names=["doc_id", "n", "f1", "f2", "l1", "l2", "l3"],
                 )
 
@@ -126,8 +133,10 @@ def leaf_buckets(sets: DataFrame, limit: int = LIMIT) -> DataFrame:
         if level == 1:
             rows = sets.select("id", F.lit(0).cast("long").alias("parent"), F.explode("l1").alias("bucket")).distinct()
         else:
-            edges = sets.select("id", F.explode(f"l{level}").alias("e")).select("id", F.col("e.parent").alias("parent"), F.col("e.child").alias("bucket"))
-            rows = edges.join(too_large.select(F.col("bucket").alias("parent")), "parent", "left_semi").select("id", "parent", "bucket").distinct()
+            split = above.join(too_large.select("bucket"), "bucket", "left_semi").groupBy("id").agg(F.collect_set("bucket").alias("split"))
+            below = F.filter(f"l{level}", lambda e: F.array_contains("split", e["parent"]))  # paths of a set are few
+            edges = sets.join(split, "id").select("id", F.explode(below).alias("e"))
+            rows = edges.select("id", F.col("e.parent").alias("parent"), F.col("e.child").alias("bucket")).distinct()
         rows = stage(rows, f"paths-{level}")
         sizes = rows.groupBy("bucket").agg(F.min("parent").alias("parent"), F.count("*").alias("n"))
         if level > 1:
@@ -184,35 +193,37 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     docs = docs.select("doc_id", "text")
     described = stage(describe_sets(docs, runs_for(recall, threshold=threshold), threshold), "sets")
     known = described.where("doc_id IS NOT NULL AND n > 0")
-    groups = known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.count_distinct("doc_id").alias("copies"))
-    groups = stage(groups, "groups").dropDuplicates(["id"])
-    sets = known.join(groups.select(F.col("id").alias("doc_id"), F.col("f1").alias("g1")), "doc_id").where("f1 = g1").select(F.col("doc_id").alias("id"), "l1", "l2", "l3")
+    groups = known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc_id"), F.count_distinct("doc_id").alias("copies"))
+    groups = stage(groups.withColumn("id", F.xxhash64("f1", "f2", "n")), "groups")
+    sets = known.join(groups.select("doc_id", "f1", "f2", "n", "id"), ["doc_id", "f1", "f2", "n"]).select("id", "l1", "l2", "l3").dropDuplicates(["id"])
     lists = stage(buckets.member_lists(leaf_buckets(stage(sets, "paths"))), "lists")
     release_shuffles(docs.sparkSession)
-    members = lists.join(groups.select("id", "copies"), "id")
-    texts = docs.join(members.withColumnRenamed("id", "doc_id"), "doc_id")
+    members = lists.join(groups.select("id", "doc_id", "f1", "copies"), "id")
+    texts = docs.join(members, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("text").to_pylist()
             for lo, hi in by_bytes(values):
                 part = batch.slice(lo, hi - lo)
-                columns = [part.column(c).to_pylist() for c in ("doc_id", "copies", "buckets")]
-                yield from buckets.deal(*columns, [packed(tokens) for tokens in token_sets(values[lo:hi])])
+                columns = [part.column(c).to_pylist() for c in ("id", "copies", "buckets", "f1")]
+                # Of rows that repeat a doc_id, those with the text of this set.
+                own = [(*row[:3], packed(tokens)) for *row, tokens in zip(*columns, token_sets(values[lo:hi])) if prints(tokens)[0] == row[3]]
+                yield from buckets.deal(*([r[k] for r in own] for k in range(4)))
 
-    dealt = map_arrow(texts.select("doc_id", "copies", "buckets", "text"), run, buckets.DEALT_SCHEMA)
+    dealt = map_arrow(texts.select("id", "copies", "buckets", "f1", "text"), run, buckets.DEALT_SCHEMA)
     found = stage(buckets.compare(dealt, similar_sets(threshold)), "links")
     release_shuffles(docs.sparkSession)
     return classes(described.select("doc_id", "f1", "f2", "n"), groups, found)
 
 
 def classes(members: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Answers for all documents from those for distinct sets."""
+    """Answers for all documents from those for distinct sets; a class is named by its smallest doc_id."""
     degree = found.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     reached = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    answers = groups.join(degree, "id", "left").join(reached, "id", "left").select(
-        "f1", "f2", "n", F.coalesce("component", "id").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
+    placed = groups.join(degree, "id", "left").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    answers = placed.join(named, "component").select("f1", "f2", "n", "class_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return members.join(answers, ["f1", "f2", "n"], "left").select(
         "doc_id",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
@@ -224,22 +235,3 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and numbers of links of all documents."""
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
-
-def report(found, folder):
-    """Comparison with all pairs, for trials by hand on small tables."""
-    import pandas as pd
-
-    docs = pd.read_parquet(f"{folder}/documents.parquet", columns=["doc_id", "text"])
-    print("classes", found.class_id.nunique(), "links", found.n_links.sum() // 2, "largest", found.class_id.value_counts().iloc[0])
-    if len(docs) > 2000:
-        return
-    sets = [set(t.tolist()) for t in token_sets(docs.text.tolist())]
-    true = np.zeros(len(docs), dtype=int)
-    for a in range(len(docs)):
-        for b in range(a):
-            shared = len(sets[a] & sets[b])
-            if shared and shared >= 0.8 * (len(sets[a]) + len(sets[b]) - shared):
-                true[a] += 1
-                true[b] += 1
-    merged = docs.assign(true=true).merge(found, on="doc_id")
-    print("links true", true.sum() // 2, "rows that differ", (merged.true != merged.n_links).sum())
