@@ -86,9 +86,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     unit = F.when(F.col("vec_id").isNotNull() & fit, F.transform("embedding", lambda v: v / largest))
     rows = rows.withColumn("digest", F.when(unit.isNotNull(), F.sha2(F.array_join(F.transform("embedding", lambda v: (v + 0.0).cast("string")), ","), 256)))
     usable = rows.where("digest IS NOT NULL").withColumn("embedding", unit)
-    groups = stage(usable.groupBy("digest").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("copies"), F.any_value("embedding").alias("embedding")), "vectors")
-    distinct = groups.dropDuplicates(["id"])
-    lists = buckets.member_lists(stage(file_vectors(distinct, threshold), "cells"))
+    groups = stage(usable.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count_distinct("vec_id").alias("copies"), F.any_value("embedding").alias("embedding")).withColumn("id", F.xxhash64("digest")), "vectors")
+    lists = buckets.member_lists(stage(file_vectors(groups, threshold), "cells"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,13 +95,13 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
                 columns = [batch.column(c).slice(lo, 1024).to_pylist() for c in ("id", "copies", "buckets", "embedding")]
                 yield from buckets.deal(*columns[:3], [np.array(v, dtype=np.float64).tobytes() for v in columns[3]])
 
-    dealt = map_arrow(distinct.join(lists, "id").select("id", "copies", "buckets", "embedding"), run, buckets.DEALT_SCHEMA)
+    dealt = map_arrow(groups.join(lists, "id").select("id", "copies", "buckets", "embedding"), run, buckets.DEALT_SCHEMA)
     found = stage(buckets.compare(dealt, similar_vectors(threshold)), "links")
     degree = found.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     reached = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    answers = groups.join(degree, "id", "left").join(reached, "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("component_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
+    placed = groups.drop("embedding").join(degree, "id", "left").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = placed.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    answers = placed.join(named, "component").select("digest", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.select("vec_id", "digest").join(answers, "digest", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
@@ -114,14 +113,3 @@ def op6_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
-
-def report(found, folder):
-    """Comparison with all pairs, for trials by hand."""
-    import pyarrow.parquet as pq
-
-    table = pq.read_table(f"{folder}/embeddings.parquet")
-    v = np.array(table.column("embedding").to_pylist(), dtype=float)
-    v /= np.linalg.norm(v, axis=1)[:, None]
-    true = dict(zip(table.column("vec_id").to_pylist(), (v @ v.T >= 0.9).sum(axis=1) - 1))
-    wrong = sum(true[i] != n for i, n in zip(found.vec_id, found.n_links))
-    print("links", sum(true.values()) // 2, "found", found.n_links.sum() // 2, "rows that differ", wrong, "components", found.component_id.nunique())
