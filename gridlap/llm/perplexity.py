@@ -9,8 +9,9 @@ Each document is scored by the model of all other rows: its own counts are taken
 themselves, and other copies of a text still do. Words nothing else in the corpus has share what the lowest order leaves over. A document's score is
 the mean negative log probability of its words, the first one after a mark for the beginning.
 
-Documents that fail fixed rules on words and repetition are rejected. Of the others the quartiles of the scores of each language are taken, and
-a document further than ``REACH`` times their distance from either is rejected: too unlike the language, or too predictable.
+Documents that fail fixed rules on words and repetition are rejected. Of the others the median and the upper quartile of the scores of each language
+are taken; their distance is the unit, because copies in the corpus draw the lower half down and leave the upper one alone. A document more than
+``ABOVE`` units over the quartile is too unlike the language, one more than ``BELOW`` units under the median too predictable; both are rejected.
 
 A word is a longest run of bytes other than the six white-space characters of ASCII; words are compared by 48-bit hashes of their bytes, lines by
 their bytes.
@@ -35,7 +36,7 @@ from gridlap.llm.common import by_bytes, map_arrow, mix, power_tables, release_s
 BLOCK_BYTES = 24 << 20
 LEAST_WORDS, WINDOW, REPEAT_PERCENT = 50, 3, 50
 SYMBOLS, SPACES = b"#*$%&|<>", b" \t\n\v\f\r"
-REACH = 3.0
+ABOVE, BELOW, LEAST_UNIT = 5.0, 24.0, 0.1
 LEFT_OVER = 0.75
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 BLOCK = "block long, doc_id array<long>, lang array<string>, " + ", ".join(f"{s} array<long>" for s in STATS) + ", vocabulary binary, words binary"
@@ -279,15 +280,15 @@ def base_failed():
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def judged(scored: DataFrame, reach: float = REACH) -> DataFrame:
+def judged(scored: DataFrame, above: float = ABOVE, below: float = BELOW) -> DataFrame:
     """Rows of ``perplexities`` with base_failed, perplexity, the band of their language and kept."""
     spark = scored.sparkSession
     scored = stage(scored.withColumn("base_failed", base_failed()).withColumn("band", F.coalesce("lang", F.lit(""))), "perplexities")
     release_shuffles(spark)
-    quartiles = F.percentile_approx("entropy", F.array(F.lit(0.25), F.lit(0.75)), 10_000)
-    bands = scored.where("NOT base_failed").groupBy("band").agg(quartiles.alias("q"))
-    reached = (F.col("q")[1] - F.col("q")[0]) * reach + 1e-9
-    bands = bands.select("band", (F.col("q")[0] - reached).alias("low"), (F.col("q")[1] + reached).alias("high"))
+    quantiles = F.percentile_approx("entropy", F.array(F.lit(0.5), F.lit(0.75)), 10_000)
+    bands = scored.where("NOT base_failed").groupBy("band").agg(quantiles.alias("q"))
+    unit = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_UNIT))
+    bands = bands.select("band", (F.col("q")[0] - below * unit).alias("low"), (F.col("q")[1] + above * unit).alias("high"))
     kept = ~F.col("base_failed") & F.col("entropy").between(F.col("low"), F.col("high"))
     return scored.join(bands, "band", "left").select(
         "doc_id", "lang", *STATS, "base_failed", F.coalesce(kept, F.lit(False)).alias("kept"), F.exp("entropy").alias("perplexity"),

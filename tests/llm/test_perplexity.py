@@ -104,7 +104,7 @@ def test_text_of_another_kind_is_rejected(spark, prose):
     wide = [(200 + k, " ".join(rng.choice(other) for _ in range(150)), None) for k in range(60)]
     gibberish = (300, " ".join(f"q{rng.random()}" for _ in range(150)), "en")
     again = " ".join(common[:90])
-    copies = [(400 + k, again, "en") for k in range(4)]
+    copies = [(400 + k, again, "en") for k in range(60)]
     rows = [(*r, 1) for r in [*usual, *wide, gibberish, *copies]]
     found = {r.doc_id: r for r in perplexity.judged(perplexity.perplexities(spark.createDataFrame(rows, "doc_id long, text string, lang string, band int"))).collect()}
     assert all(found[k].kept for k, *_ in [*usual, *wide])
