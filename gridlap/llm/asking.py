@@ -49,10 +49,10 @@ def unpacked_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(unpacked(blob), dtype=np.uint64)
 
 
-def part_bounds(keys: np.ndarray, parts: int, together: int = 0) -> np.ndarray:
-    """Where the keys (ascending, below 2**KEY_BITS) of each part of equal key range begin; one more entry than parts. Keys that differ in
+def part_bounds(keys: np.ndarray, parts: int, together: int = 0, bits: int = KEY_BITS) -> np.ndarray:
+    """Where the keys (ascending, of ``bits`` bits) of each part of equal key range begin; one more entry than parts. Keys that differ in
     their last ``together`` bits alone are in one part."""
-    edges = [-(-(p << KEY_BITS - together) // parts) << together for p in range(1, parts)]
+    edges = [-(-(p << bits - together) // parts) << together for p in range(1, parts)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(edges, dtype=np.uint64)), [len(keys)]]).astype(np.int64)
 
 

@@ -14,7 +14,8 @@ are taken; their distance is the unit, because copies in the corpus draw the low
 ``ABOVE`` units over the quartile is too unlike the language, one more than ``BELOW`` units under the median too predictable; both are rejected.
 
 A word is a longest run of bytes other than the six white-space characters of ASCII; words are compared by 48-bit hashes of their bytes, lines by
-their bytes.
+their bytes. The hashes of bigrams have ``SPARE_BITS`` more bits than the number of words in the corpus needs, so one in 2**SPARE_BITS bigrams at most
+shares its hash, in a corpus of any size.
 
 Edge cases: null and empty texts and texts without words have no score and fail the rules; a null language is a language of its own; every row is
 a document, so repeated rows count each and get equal answers; null doc_ids are carried along; an empty table gives an empty result; extra columns
@@ -34,6 +35,8 @@ from gridlap.llm import asking
 from gridlap.llm.common import by_bytes, map_arrow, mix, power_tables, release_shuffles, stage
 
 BLOCK_BYTES = 24 << 20
+SCORED_WORDS = 1 << 19
+SPARE_BITS = 14
 LEAST_WORDS, WINDOW, REPEAT_PERCENT = 50, 3, 50
 SYMBOLS, SPACES = b"#*$%&|<>", b" \t\n\v\f\r"
 ABOVE, BELOW, LEAST_UNIT = 5.0, 24.0, 0.1
@@ -127,22 +130,31 @@ def document_blocks(docs: DataFrame) -> DataFrame:
 
 
 class Bigrams:
-    """The distinct bigrams of a block in the order of their keys; a context is a word's number or, for the beginning, the size of the vocabulary."""
+    """The distinct bigrams of a block, as codes (number of the context times size of the vocabulary, plus number of the word) in ascending order, and of
+    every word the code of its bigram. A context is a word or, for the beginning, the last number of the vocabulary."""
 
     def __init__(self, vocabulary: bytes, words: bytes, n_words: list[int]) -> None:
         self.vocabulary = np.append(asking.unpacked_keys(vocabulary), _BEGIN)
         self.size = len(self.vocabulary)
         word = asking.unpacked(words).astype(np.int64)
-        context = np.append(self.size - 1, word)[:-1] if len(word) else word
-        bounds = np.cumsum([0, *n_words])
-        context[bounds[:-1][np.diff(bounds) > 0]] = self.size - 1
-        self.codes = context * self.size + word
-        distinct, self.counts = np.unique(self.codes, return_counts=True)
-        context, word = distinct // self.size, distinct % self.size
-        keys = mix(self.vocabulary[context] * _SPREAD + self.vocabulary[word]) >> _SHIFT
+        self.codes = np.append(self.size - 1, word)[:-1] if len(word) else word.copy()
+        self.bounds = np.cumsum([0, *n_words])
+        self.codes[self.bounds[:-1][np.diff(self.bounds) > 0]] = self.size - 1
+        self.codes *= self.size
+        self.codes += word
+        self.distinct, self.counts = np.unique(self.codes, return_counts=True)
+
+    def context(self) -> np.ndarray:
+        return self.distinct // self.size
+
+    def word(self) -> np.ndarray:
+        return self.distinct % self.size
+
+    def keys(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the distinct bigrams in ascending order, and the place of each among the codes."""
+        keys = mix(self.vocabulary[self.context()] * _SPREAD + self.vocabulary[self.word()]) >> np.uint64(64 - bits)
         order = np.argsort(keys, kind="stable")
-        self.keys, self.counts, self.context, self.word = keys[order], self.counts[order], context[order], word[order]
-        self.distinct, self.order = distinct, order
+        return keys[order], order
 
 
 def _bigram_totals(keys: list[np.ndarray], amounts: list[np.ndarray]) -> list[asking.Answer]:
@@ -180,17 +192,26 @@ def _by_class(own: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(group[own == k], minlength=size) for k in (1, 2, 3)])
 
 
-def document_log_probs(bigrams: Bigrams, n_words: list[int], told: np.ndarray, sums: np.ndarray, off: np.ndarray, n_types: int, n_vocabulary: int) -> np.ndarray:
+def document_log_probs(bigrams: Bigrams, total: np.ndarray, sums: np.ndarray, off: np.ndarray, n_types: int, n_vocabulary: int) -> np.ndarray:
     """Log probability of each document under the counts of all other rows.
 
-    ``told`` answers the bigrams in key order, ``sums`` (words x 5) the words: occurrences as context, words that follow once, twice, more often, words before.
+    ``total`` are the occurrences of the distinct bigrams, ``sums`` (words x 5) of the words: occurrences as context, words that follow
+    once, twice, more often, words before. Documents are scored in runs of about ``SCORED_WORDS`` words.
     """
-    total = np.empty(len(told), dtype=np.int64)
-    total[bigrams.order] = (told // np.uint64(2)).astype(np.int64)  # by code
-    n_docs, size = len(n_words), bigrams.size
-    doc_of = np.repeat(np.arange(n_docs), n_words)
-    own, times = np.unique(doc_of * len(total) + np.searchsorted(bigrams.distinct, bigrams.codes), return_counts=True)
-    doc, bigram = own // max(1, len(total)), own % max(1, len(total))
+    out = [np.zeros(0)]
+    bounds, lo = bigrams.bounds, 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + SCORED_WORDS, side="right")) - 1)
+        out.append(_log_probs(bigrams, bounds[lo : hi + 1], total, sums, off, n_types, n_vocabulary))
+        lo = hi
+    return np.concatenate(out)
+
+
+def _log_probs(bigrams: Bigrams, bounds: np.ndarray, total: np.ndarray, sums: np.ndarray, off: np.ndarray, n_types: int, n_vocabulary: int) -> np.ndarray:
+    n_docs, size, n_distinct = len(bounds) - 1, bigrams.size, max(1, len(total))
+    doc_of = np.repeat(np.arange(n_docs), np.diff(bounds))
+    own, times = np.unique(doc_of * n_distinct + np.searchsorted(bigrams.distinct, bigrams.codes[bounds[0] : bounds[-1]]), return_counts=True)
+    doc, bigram = own // n_distinct, own % n_distinct
     context, word = bigrams.distinct[bigram] // size, bigrams.distinct[bigram] % size
     rest = total[bigram] - times
 
@@ -220,11 +241,20 @@ def perplexities(docs: DataFrame) -> DataFrame:
     blocks = asking.stored_blocks(document_blocks(docs), "perplexity_blocks")
     content = blocks.select("block", "n_words", "vocabulary", "words")
     parts = asking.parts_for(docs)
+    n_corpus = blocks.select(F.aggregate("n_words", F.lit(0).cast("long"), lambda a, n: a + n).alias("n")).agg(F.sum("n")).first()[0] or 1
+    bits = min(62, max(24, int(n_corpus).bit_length() + SPARE_BITS))
 
     def ask_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Bigrams(row["vocabulary"], row["words"], row["n_words"])
-            yield asking.request_rows(row["block"], own.keys, [own.counts], asking.part_bounds(own.keys, parts))
+            keys, order = own.keys(bits)
+            yield asking.request_rows(row["block"], keys, [own.counts[order]], asking.part_bounds(keys, parts, bits=bits))
+
+    def totals(own: Bigrams, told: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences of the distinct bigrams, and of which this is the first block."""
+        answer = np.empty(len(own.distinct), dtype=np.uint64)
+        answer[own.keys(bits)[1]] = asking.joined(told)
+        return (answer // np.uint64(2)).astype(np.int64), answer % np.uint64(2) == 1
 
     told = stage(asking.answers(map_arrow(content, ask_bigrams, asking.REQUEST), _bigram_totals), "bigram-totals")
     release_shuffles(spark)
@@ -234,10 +264,8 @@ def perplexities(docs: DataFrame) -> DataFrame:
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Bigrams(row["vocabulary"], row["words"], row["n_words"])
-            answer = asking.joined(row["told"])
-            first = answer % np.uint64(2) == 1
-            total = (answer // np.uint64(2)).astype(np.int64)[first]
-            context, word = own.context[first], own.word[first]
+            total, first = totals(own, row["told"])
+            total, context, word = total[first], own.context()[first], own.word()[first]
             columns = [
                 np.bincount(context, total, own.size).astype(np.uint64), *_by_class(np.minimum(total, 3), context, own.size), np.bincount(word, minlength=own.size),
             ]
@@ -255,7 +283,7 @@ def perplexities(docs: DataFrame) -> DataFrame:
             own = Bigrams(row["vocabulary"], row["words"], row["n_words"])
             sums = np.empty((own.size, 5), dtype=np.int64)
             sums[np.argsort(own.vocabulary, kind="stable")] = asking.joined(row["sums"]).astype(np.int64).reshape(-1, 5)
-            logs = document_log_probs(own, row["n_words"], asking.joined(row["told"]), sums, off, n_types, n_vocabulary)
+            logs = document_log_probs(own, totals(own, row["told"])[0], sums, off, n_types, n_vocabulary)
             entropy = [-x / n if n else None for x, n in zip(logs.tolist(), row["n_words"])]
             columns = [pa.array(row["doc_id"], pa.int64()), pa.array(row["lang"], pa.string()), *(pa.array(row[s], pa.int64()) for s in STATS), pa.array(entropy, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCORED.split(", ")])

@@ -7,9 +7,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from gridlap.llm import perplexity
+from gridlap.llm import asking, perplexity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,6 +77,21 @@ def test_scores_equal_brute_force(spark, frame, prose):
         assert g[2] == t[2] if t[2] is None else g[2] == pytest.approx(t[2], rel=1e-9)
 
 
+def test_documents_are_scored_alike_in_runs_of_any_size(monkeypatch):
+    rng = np.random.default_rng(1)
+    n_words = [0, 7, 0, 40, 1, 3, 0, 25, 60, 0]
+    words = rng.integers(0, 9, sum(n_words))
+    own = perplexity.Bigrams(asking.packed_keys(np.arange(5, 14, dtype=np.uint64)), asking.packed(words), n_words)
+    total = own.counts + rng.integers(0, 5, len(own.counts))
+    sums = np.stack([np.bincount(own.context(), total, own.size)] + [rng.integers(8, 12, own.size) for _ in range(4)], axis=1).astype(np.int64)
+    scores = []
+    for size in (1, 30, 1 << 19):
+        monkeypatch.setattr(perplexity, "SCORED_WORDS", size)
+        scores.append(perplexity.document_log_probs(own, total, sums, perplexity.discounts(9, 4, 3, 2), 500, 40))
+    assert len(scores[0]) == len(n_words) and (scores[0] == scores[1]).all() and (scores[0] == scores[2]).all()
+    assert [s == 0 for s in scores[0]] == [n == 0 for n in n_words]
+
+
 def test_one_document_and_no_document(spark, frame):
     row = perplexity.perplexities(frame([(1, "a b a b")])).first()
     assert row.entropy == pytest.approx(brute_entropies(["a b a b"])[0])
