@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from gridlap.llm import asking
 from gridlap.llm.common import by_bytes, map_arrow, mix, power_tables, release_shuffles, stage
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
 SCORED_WORDS = 1 << 19
-SPARE_BITS = 14
+SPARE_BITS = 12
 LEAST_WORDS, WINDOW, REPEAT_PERCENT = 50, 3, 50
 SYMBOLS, SPACES = b"#*$%&|<>", b" \t\n\v\f\r"
 ABOVE, BELOW, LEAST_UNIT = 5.0, 24.0, 0.1
@@ -100,28 +100,34 @@ def document_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of documents as numbers of words in the block's sorted vocabulary, with the numbers the rules use."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        size = 0
+        ids, langs, hashes, stats, size = [], [], [], [], 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
-                rows.append(row)
-                size += len(row[2] or "") + 1
+            texts = batch.column("text")
+            for lo, hi in by_bytes(texts.to_pylist()):
+                ids += batch.column("doc_id").slice(lo, hi - lo).to_pylist()
+                langs += batch.column("lang").slice(lo, hi - lo).to_pylist()
+                own, numbers = described([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
+                hashes.append(own)
+                stats.append(numbers)
+                size += int(numbers[1].sum()) + len(own)
                 if size >= BLOCK_BYTES:
-                    yield block(rows)
-                    rows, size = [], 0
-        if rows:
-            yield block(rows)
+                    yield block(ids, langs, hashes, stats)
+                    ids, langs, hashes, stats, size = [], [], [], [], 0
+        if ids:
+            yield block(ids, langs, hashes, stats)
 
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [t or "" for _, _, t in rows]
+    def described(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        hashes, bounds = word_hashes(raw)
-        vocabulary, words = np.unique(hashes, return_inverse=True)
-        stats = [np.diff(bounds), *rule_numbers(texts, raw), repeated_words(hashes, bounds)]
+        own, bounds = word_hashes(raw)
+        return own, np.stack([np.diff(bounds), *rule_numbers(texts, raw), repeated_words(own, bounds)])
+
+    def block(ids: list, langs: list, hashes: list[np.ndarray], stats: list[np.ndarray]) -> pa.RecordBatch:
+        vocabulary, words = np.unique(np.concatenate(hashes), return_inverse=True)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([asking.new_block()], pa.int64()), pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([[r[1] for r in rows]], pa.list_(pa.string())),
-                *(pa.array([s], pa.list_(pa.int64())) for s in stats), pa.array([asking.packed_keys(vocabulary)], pa.binary()), pa.array([asking.packed(words)], pa.binary()),
+                pa.array([asking.new_block()], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([langs], pa.list_(pa.string())),
+                *(pa.array([s], pa.list_(pa.int64())) for s in np.concatenate(stats, axis=1)),
+                pa.array([asking.packed_keys(vocabulary)], pa.binary()), pa.array([asking.packed(words)], pa.binary()),
             ],
             names=[c.split()[0] for c in BLOCK.split(", ")],
         )
@@ -158,26 +164,29 @@ class Bigrams:
 
 
 def _bigram_totals(keys: list[np.ndarray], amounts: list[np.ndarray]) -> list[asking.Answer]:
-    """Occurrences of each bigram, times 2, plus 1 for the first block that has it; tally: how many such bigrams occur 1, 2, 3, 4 times, and all."""
+    """Occurrences of each bigram in other blocks, times 2, plus 1 for the first block that has it; tally: how many such bigrams occur 1, 2, 3, 4
+    times, and all."""
     every, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(place, np.concatenate([a[0] for a in amounts]).astype(np.float64)).astype(np.uint64)
-    told = total[place] * np.uint64(2)
-    told[first] += np.uint64(1)
+    own = np.concatenate([a[0] for a in amounts])
+    total = np.bincount(place, own.astype(np.float64)).astype(np.uint64)[place]
+    is_first = np.zeros(len(place), dtype=np.uint64)
+    is_first[first] = 1
+    told = (total - own) * np.uint64(2) + is_first
     cuts = np.cumsum([0, *map(len, keys)])
     out = []
     for lo, hi in zip(cuts[:-1], cuts[1:]):
-        own = told[lo:hi][told[lo:hi] % np.uint64(2) == 1] // np.uint64(2)
-        out.append((asking.packed(told[lo:hi]), [*np.bincount(np.minimum(own, 5).astype(np.int64), minlength=6)[1:5].tolist(), len(own)]))
+        counted = total[lo:hi][is_first[lo:hi] == 1]
+        out.append((asking.packed(told[lo:hi]), [*np.bincount(np.minimum(counted, 5).astype(np.int64), minlength=6)[1:5].tolist(), len(counted)]))
     return out
 
 
 def _word_sums(keys: list[np.ndarray], amounts: list[np.ndarray]) -> list[asking.Answer]:
-    """Sums of the five columns of each word, one column after the other; tally: words (the mark for the beginning is one), told once."""
+    """What the other blocks add to the five columns of each word; tally: words (the mark for the beginning is one), told once."""
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     columns = np.concatenate(amounts, axis=1)
-    sums = np.stack([np.bincount(place, c.astype(np.float64)) for c in columns]).astype(np.uint64)
+    sums = np.stack([np.bincount(place, c.astype(np.float64)).astype(np.uint64)[place] - c for c in columns])
     cuts = np.cumsum([0, *map(len, keys)])
-    return [(asking.packed(sums[:, place[lo:hi]].T.ravel()), [len(every) if lo == 0 else 0]) for lo, hi in zip(cuts[:-1], cuts[1:])]
+    return [(asking.packed(sums[:, lo:hi].T.ravel()), [len(every) if lo == 0 else 0]) for lo, hi in zip(cuts[:-1], cuts[1:])]
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -254,24 +263,26 @@ def perplexities(docs: DataFrame) -> DataFrame:
         """Occurrences of the distinct bigrams, and of which this is the first block."""
         answer = np.empty(len(own.distinct), dtype=np.uint64)
         answer[own.keys(bits)[1]] = asking.joined(told)
-        return (answer // np.uint64(2)).astype(np.int64), answer % np.uint64(2) == 1
+        return (answer // np.uint64(2)).astype(np.int64) + own.counts, answer % np.uint64(2) == 1
 
     told = stage(asking.answers(map_arrow(content, ask_bigrams, asking.REQUEST), _bigram_totals), "bigram-totals")
     release_shuffles(spark)
     *n, n_types = _tallies(told, 5)
     off = discounts(*n)
 
+    def word_columns(own: Bigrams, total: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """What a block adds to each word of its vocabulary (rows), by the bigrams it is the first to have."""
+        total, context, word = total[first], own.context()[first], own.word()[first]
+        classes = _by_class(np.minimum(total, 3), context, own.size)
+        return np.stack([np.bincount(context, total, own.size).astype(np.int64), *classes, np.bincount(word, minlength=own.size)], axis=1)
+
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Bigrams(row["vocabulary"], row["words"], row["n_words"])
-            total, first = totals(own, row["told"])
-            total, context, word = total[first], own.context()[first], own.word()[first]
-            columns = [
-                np.bincount(context, total, own.size).astype(np.uint64), *_by_class(np.minimum(total, 3), context, own.size), np.bincount(word, minlength=own.size),
-            ]
+            columns = word_columns(own, *totals(own, row["told"]))
             order = np.argsort(own.vocabulary, kind="stable")
             keys = own.vocabulary[order]
-            yield asking.request_rows(row["block"], keys, [c[order].astype(np.uint64) for c in columns], asking.part_bounds(keys, parts))
+            yield asking.request_rows(row["block"], keys, list(columns[order].T.astype(np.uint64)), asking.part_bounds(keys, parts))
 
     with_bigrams = asking.with_answers(content, told=told)
     summed = stage(asking.answers(map_arrow(with_bigrams, ask_words, asking.REQUEST), _word_sums), "word-sums")
@@ -281,9 +292,10 @@ def perplexities(docs: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Bigrams(row["vocabulary"], row["words"], row["n_words"])
-            sums = np.empty((own.size, 5), dtype=np.int64)
-            sums[np.argsort(own.vocabulary, kind="stable")] = asking.joined(row["sums"]).astype(np.int64).reshape(-1, 5)
-            logs = document_log_probs(own, totals(own, row["told"])[0], sums, off, n_types, n_vocabulary)
+            total, first = totals(own, row["told"])
+            sums = word_columns(own, total, first)
+            sums[np.argsort(own.vocabulary, kind="stable")] += asking.joined(row["sums"]).astype(np.int64).reshape(-1, 5)
+            logs = document_log_probs(own, total, sums, off, n_types, n_vocabulary)
             entropy = [-x / n if n else None for x, n in zip(logs.tolist(), row["n_words"])]
             columns = [pa.array(row["doc_id"], pa.int64()), pa.array(row["lang"], pa.string()), *(pa.array(row[s], pa.int64()) for s in STATS), pa.array(entropy, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCORED.split(", ")])
