@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from gridlap.llm import asking
 from gridlap.llm.common import by_bytes, map_arrow, mix, power_tables, release_shuffles, stage
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 SCORED_WORDS = 1 << 19
 SPARE_BITS = 12
 LEAST_WORDS, WINDOW, REPEAT_PERCENT = 50, 3, 50
@@ -148,6 +148,7 @@ class Bigrams:
         self.codes[self.bounds[:-1][np.diff(self.bounds) > 0]] = self.size - 1
         self.codes *= self.size
         self.codes += word
+        del word
         self.distinct, self.counts = np.unique(self.codes, return_counts=True)
 
     def context(self) -> np.ndarray:
@@ -158,7 +159,10 @@ class Bigrams:
 
     def keys(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the distinct bigrams in ascending order, and the place of each among the codes."""
-        keys = mix(self.vocabulary[self.context()] * _SPREAD + self.vocabulary[self.word()]) >> np.uint64(64 - bits)
+        keys = self.vocabulary[self.context()]
+        keys *= _SPREAD
+        keys += self.vocabulary[self.word()]
+        keys = mix(keys) >> np.uint64(64 - bits)
         order = np.argsort(keys, kind="stable")
         return keys[order], order
 
