@@ -332,7 +332,8 @@ def judged(scored: DataFrame, above: float = ABOVE, below: float = BELOW) -> Dat
     quantiles = F.percentile_approx("entropy", F.array(F.lit(0.5), F.lit(0.75)), 10_000)
     bands = scored.where("NOT base_failed").groupBy("band").agg(quantiles.alias("q"))
     unit = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(LEAST_UNIT))
-    bands = bands.select("band", (F.col("q")[0] - below * unit).alias("low"), (F.col("q")[1] + above * unit).alias("high"))
+    # A table of languages, so that the planner knows its size and need not shuffle the documents by language.
+    bands = stage(bands.select("band", (F.col("q")[0] - below * unit).alias("low"), (F.col("q")[1] + above * unit).alias("high")), "bands")
     kept = ~F.col("base_failed") & F.col("entropy").between(F.col("low"), F.col("high"))
     return scored.join(bands, "band", "left").select(
         "doc_id", "lang", *STATS, "base_failed", F.coalesce(kept, F.lit(False)).alias("kept"), F.exp("entropy").alias("perplexity"),
