@@ -41,11 +41,33 @@ def derived_names() -> list[str]:
     return list(_REGISTRY)
 
 
+def derived_order() -> list[str]:
+    """Derived observables so that each comes after those among its inputs."""
+    order: list[str] = []
+    waiting = list(_REGISTRY)
+    while waiting:
+        ready = [n for n in waiting if not set(_REGISTRY[n].inputs) & set(waiting)]
+        if not ready:
+            raise ValueError(f"derived observables need each other: {sorted(waiting)}")
+        order += ready
+        waiting = [n for n in waiting if n not in ready]
+    return order
+
+
 def derived_from(observable: str) -> list[str]:
     """Names of the derived observables that take ``observable`` as an input."""
     return [d.name for d in _REGISTRY.values() if observable in d.inputs]
 
 
+def derived_from_all(observable: str) -> list[str]:
+    """Names of the derived observables that ``observable`` is needed for, directly or through others."""
+    found: list[str] = []
+    for name in derived_order():
+        if {observable, *found} & set(_REGISTRY[name].inputs):
+            found.append(name)
+    return found
+
+
 def digestion_index(c: dict[str, Column]) -> Column:
     good, bad = c["good_droppings"], c["bad_droppings"]
     return F.try_divide(good, bad + good) * 100

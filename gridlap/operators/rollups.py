@@ -52,18 +52,26 @@ def newer_cells(cells: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     return rows.filter(F.col("time") > F.coalesce("mark", tp.ntz(NEVER)))
 
 
-def latest_over_time(cells: DataFrame, marks: DataFrame | None = None) -> DataFrame:
-    """Newest value of every place; of cells with one time the later lap counts."""
+def newest_of(rows: DataFrame) -> DataFrame:
+    """Newest row of every place, with its lap; of rows with one time the later lap counts."""
     key = tp.order_key(F.col("time"), F.col("round_number"))
     return (
-        newer_cells(cells, marks)
-        .withColumn("key", key)
+        rows.withColumn("key", key)
         .groupBy(*SERIES_KEY, *PLACE)
-        .agg(F.max_by("value", "key").alias("value"), tp.key_time(F.max("key")).alias("time"))
-        .select("value", "time", *PLACE, *SERIES_KEY)
+        .agg(F.max_by("value", "key").alias("value"), tp.key_time(F.max("key")).alias("time"), tp.key_tie(F.max("key")).alias("round_number"))
+        .select("value", "time", *PLACE, *SERIES_KEY, "round_number")
     )
 
 
+def latest_places(cells: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    return newest_of(newer_cells(cells, marks))
+
+
+def latest_over_time(cells: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """Newest value of every place."""
+    return latest_places(cells, marks).drop("round_number")
+
+
 def latest_over_space(cells: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """Statistics over the cells that are new since ``marks``."""
     return space_aggregates(

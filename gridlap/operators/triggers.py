@@ -7,16 +7,24 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import timeparts as tp
-from ..functions.formulas import derived, derived_names
+from ..functions.formulas import derived, derived_from_all, derived_names
 from .marks import KEY, last_rows
 
 CONTEXT = ["robot_id", "x_dim", "y_dim", "obs_type"]
 SENDER = [*KEY, "robot_id"]
 
 
-def batch_context(readings: DataFrame) -> DataFrame:
-    """Grid size and type per cycle, observable and robot of a batch."""
-    return readings.groupBy(*SENDER).agg(*[F.max(c).alias(c) for c in CONTEXT if c not in SENDER])
+def batch_context(rows: DataFrame) -> DataFrame:
+    """Grid size and type per cycle, observable and robot of a batch, from its readings or, one row each, its files."""
+    return rows.groupBy(*SENDER).agg(*[F.max(c).alias(c) for c in CONTEXT if c not in SENDER])
+
+
+def derived_context(context: DataFrame) -> DataFrame:
+    """Context of the derived observables that the observables of a batch lead to, directly or through others."""
+    inputs = sorted({o for n in derived_names() for o in derived(n).inputs})
+    names = F.create_map(*[F.lit(x) for o in inputs for x in (o, F.array(*[F.lit(n) for n in derived_from_all(o)]))])
+    reached = F.explode(F.try_element_at(names, F.col("observable_name")))
+    return batch_context(context.withColumn("observable_name", reached))
 
 
 def new_units(batch_cells: DataFrame, stored: DataFrame, tod_marks: DataFrame) -> DataFrame:

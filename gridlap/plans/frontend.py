@@ -114,6 +114,16 @@ OUTPUTS: dict[str, dict[str, Callable[[Rollups], DataFrame]]] = {
 }
 
 
+# Names of the outputs of each event kind, as they stand in the display rows.
+OUTPUT_KINDS: dict[str, list[tuple[str, str]]] = {
+    S.LATEST: [("latest", "graph"), ("latest", "heatmap")],
+    S.NEW_ROUND: [("round", "graph"), ("round", "heatmap")],
+    S.NEW_DAY: [("new_day", "graph"), ("new_day", "heatmap")],
+    S.NEW_TIME_OF_DAY: [("time_of_day", "graph"), ("time_of_day", "heatmap")],
+    S.NEW_HOURLY_OVERVIEW: [("hourly_overview", "heatmap"), ("hour", "graph"), ("day", "graph"), ("week", "graph"), ("month", "graph")],
+}
+
+
 def event_outputs(event: str, tables: Rollups) -> DataFrame:
     """All display rows of one event kind, for every cycle and observable in the tables."""
     if event not in OUTPUTS:

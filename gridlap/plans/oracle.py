@@ -595,4 +595,109 @@ def oracle_queries() -> dict[str, str]:
             "matrix_latest": "latest", "matrix_round": "round", "matrix_day": "new_day", "matrix_tod": "time_of_day",
         }.items()
     )
+    return sql | stored_queries()
+
+
+RESTARTS = "\n  UNION ALL SELECT round_id, time + INTERVAL 2 HOUR, i + 1, 0 FROM lap_starts WHERE i % 5 = 4"
+
+
+def kept(cells: str, name: str) -> str:
+    """Cells after the retraction of closed laps: all but the newest one of each cycle."""
+    return f"""
+{name}_newest AS (SELECT round_id, max(round_number) AS newest FROM {cells} GROUP BY ALL),
+{name} AS MATERIALIZED (
+  SELECT c.* FROM {cells} c JOIN {name}_newest USING (round_id) LEFT JOIN bounds b USING (round_id, round_number)
+  WHERE NOT (round_number < newest
+             AND (coalesce(c.time >= first_before AND c.time < b.valid_time, FALSE) OR coalesce(c.time >= first_after, FALSE)))
+)
+"""
+
+
+def stored_queries() -> dict[str, str]:
+    """Twins of the queries that run batches against a store."""
+    sql: dict[str, str] = {}
+    two = [BOUNDS, kept("cells", "kept"), kept("earlier", "e_kept")]
+    tables = {
+        "round_over_space": ("rounds_space", "round_number"), "day_over_space": ("days_space", "day"),
+        "tod_over_space": ("tods_space", "time_of_day"), "hourly_overview": ("hours", "CAST(NULL AS INT)"),
+    }
+    sql["triggered_outputs"] = over(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS kind, {KEY}, {unit} AS unit, time, {STATS} FROM {prefix}{table} WHERE {condition}"
+            for kind, (table, unit) in tables.items()
+            for prefix, condition in (("k_", "observable_name <> 'humidity'"), ("f_", "observable_name = 'humidity'"))
+        ),
+        *two,
+        rollup_ctes("kept", "k_"),
+        rollup_ctes("e_kept", "f_"),
+    )
+    sql["triggered_places"] = over(f"SELECT * REPLACE ({r6('value')} AS value) FROM latest", *two, LATEST.replace("FROM cells", "FROM kept"))
+    early = READINGS.replace(RESTARTS, "")
+    assert early != READINGS
+    final = f"final_counter AS (SELECT * FROM round_counter{RESTARTS})"
+    every = " UNION ALL BY NAME ".join(["SELECT * FROM kept", *(derive(name, "kept") for name in FORMULAS)])
+    sql["late_invalidation"] = with_ctes(
+        f"SELECT * REPLACE ({r6('value')} AS value) FROM ({every})", early, final, LAPS, CELLS, BOUNDS.replace("round_counter", "final_counter"), kept("cells", "kept")
+    )
+    start = window_start("time")
+    sql["stored_marks"] = over(
+        "SELECT l.*, newest_window, closed_window FROM k_last l LEFT JOIN (SELECT round_id, observable_name, "
+        f"max({start}) AS newest_window, max({start}) FILTER ({start} < {window_start('last_time')}) AS closed_window "
+        "FROM kept JOIN k_last USING (round_id, observable_name) WHERE x <> -1 AND day_of_production >= 0 GROUP BY ALL) USING (round_id, observable_name)",
+        *two,
+        f"k_last AS ({last_rows('kept')})",
+    )
+    whole_seconds = READINGS.replace("CAST(ts AS TIMESTAMP) AS time", "date_trunc('second', CAST(ts AS TIMESTAMP)) AS time")
+    assert whole_seconds != READINGS
+    sql["cells_repeated_files"] = with_ctes(f"SELECT * REPLACE ({r6('value')} AS value) FROM cells", whole_seconds, LAPS, CELLS)
+    wire = "strftime(time, '%Y-%m-%dT%H:%M:%SZ')"
+    number = "CAST(CAST(value AS DECIMAL(20, 4)) AS VARCHAR)"
+    sql["quarantine_rows"] = with_ctes(
+        "SELECT file_id, round_id, robot_id, observable_name, line_number, CASE spoil "
+        f"WHEN 0 THEN {wire} || ',' || x || ',' || y || ',0,n/a' WHEN 5 THEN 'yesterday,' || x || ',' || y || ',0,' || {number} "
+        f"WHEN 10 THEN {wire} || ',left,' || y || ',0,' || {number} ELSE {wire} || ',' || x || ',' || y || ',0,' || {number} || ',more' END AS line, "
+        "CASE spoil WHEN 0 THEN 'value is not a number' WHEN 5 THEN 'no time' WHEN 10 THEN 'no place' ELSE 'too many fields' END AS reason "
+        "FROM (SELECT *, CAST(row_number() OVER (PARTITION BY file_id ORDER BY time, x, y, value) + 1 AS INT) AS line_number, "
+        "epoch_us(time) // 1000000 % 20 AS spoil FROM readings) WHERE spoil IN (0, 5, 10, 15)",
+        READINGS,
+    )
+    derived_cells = " UNION ALL BY NAME ".join(derive(name, "aligned") for name in FORMULAS)
+    inputs = ", ".join(f"('{i}', '{name}')" for name, (needed, _) in FORMULAS.items() for i in needed)
+    flags = FLAGS.replace("FROM cells c", "FROM d_cells c").replace("e_tods_space", "d_tods_space").replace("e_last", "d_last")
+    assert flags.count("d_") >= 3
+    flags = flags.replace("JOIN context USING", "JOIN d_context USING").replace(
+        "events_due AS (",
+        "d_context AS (SELECT round_id, m.d AS observable_name, max(robot_id) AS robot_id, max(x_dim) AS x_dim, max(y_dim) AS y_dim, "
+        f"max(obs_type) AS obs_type FROM context JOIN (VALUES {inputs}) m(o, d) ON observable_name = m.o GROUP BY ALL),\nevents_due AS (",
+    )
+    sql["derived_trigger_rows"] = over(
+        "SELECT t.e AS event_type, round_id, robot_id, t.o AS observable_name, x_dim, y_dim, obs_type, t.k AS routing_key FROM events_due",
+        ALIGNED,
+        f"d_cells AS MATERIALIZED ({derived_cells})",
+        "d_earlier AS (SELECT d.* FROM d_cells d JOIN halves USING (round_id) WHERE time < split)",
+        rollup_ctes("d_earlier", "d_"),
+        flags,
+    )
+    sql["empty_outputs"] = over(
+        "SELECT 'empty_output' AS kind, round_id, CAST(NULL AS VARCHAR) AS robot_id, observable_name, CAST(NULL AS VARCHAR) AS file_id, "
+        "'There is no data for this output' AS subject, 'There is no ' || event_type || ' data for graph of round_id=' || round_id || "
+        "', observable name = ' || observable_name AS body, FALSE AS notify FROM (SELECT DISTINCT round_id, observable_name FROM readings) "
+        "CROSS JOIN (VALUES ('latest'), ('round'), ('new_day'), ('time_of_day')) k(event_type) "
+        "WHERE (round_id, observable_name, event_type) NOT IN (SELECT (round_id, observable_name, 'latest') FROM g_cells WHERE day_of_production >= 0 "
+        "UNION ALL SELECT (round_id, observable_name, 'round') FROM g_rounds UNION ALL SELECT (round_id, observable_name, 'new_day') FROM g_days "
+        "UNION ALL SELECT (round_id, observable_name, 'time_of_day') FROM g_tods)",
+        "g_cells AS (SELECT c.* FROM cells c JOIN spans USING (round_id) WHERE time < lo + INTERVAL 60 HOUR)",
+        rollup_ctes("g_cells", "g_"),
+    )
+    # Scans
+    one = "round_id = 'pc1' AND observable_name = 'temperature'"
+    since = "time > TIMESTAMP '2024-01-08 12:00:00'"
+    value = f"{r6('value')} AS value"
+    sql["scan_cells_since"] = over(f"SELECT * REPLACE ({value}) FROM cells WHERE {one} AND {since}")
+    sql["scan_round_cells"] = over(
+        f"SELECT {value}, time, x, y, z, round_id, round_number, observable_name FROM cells WHERE {one} AND round_number = 12 AND day_of_production >= 0"
+    )
+    sql["scan_latest_cells"] = over(f"SELECT {value}, time, x, y, z, round_id, observable_name FROM cells WHERE {one} AND {since} AND day_of_production >= 0")
+    sql["scan_placed_rows"] = over(f"SELECT {value}, time, x, y, z, round_number FROM rounds WHERE {one} AND x >= 0 AND y >= 0", ROLLUPS)
+    sql["scan_unit_times"] = over(f"SELECT DISTINCT round_number, time FROM rounds_space WHERE {one}", ROLLUPS)
     return sql

@@ -72,6 +72,10 @@ TABLE_KEYS = {
 
 _ID = "round_id string, observable_name string, obs_type string"
 _STATS = "mean double, sd double, total double"
+_ALERT = (
+    "kind string, round_id string, robot_id string, observable_name string, file_id string, subject string, body string, notify boolean"
+)
+_FAILED = "event_type string, round_id string, observable_name string, error string"
 _PLACE = "value double, time timestamp_ntz, x int, y int, z int"
 
 STORED_DDL = {
@@ -88,14 +92,30 @@ STORED_DDL = {
     "tod_over_space": f"{_STATS}, time timestamp_ntz, day int, time_of_day int, {_ID}, window_start timestamp_ntz",
     "hourly_overview": f"{_STATS}, time timestamp_ntz, round_number int, day int, {_ID}",
     "frontend_data": "data string, event_type string, type_of_plot string, round_id string, observable_name string",
-    "alerts": "kind string, round_id string, robot_id string, observable_name string, file_id string, subject string, body string, "
-    "notify boolean",
-    "coordinate_alerts": "kind string, round_id string, robot_id string, observable_name string, file_id string, subject string, "
-    "body string, notify boolean",
+    "alerts": _ALERT,
+    "coordinate_alerts": _ALERT,
     "alert_notification": "id string, robot_id string, alert_id string, notification_method_id string, user_id string, "
     "time timestamp_ntz, subject string, message string, level string, created_by string, event_type string",
     "ingest_audit": "id string, robot_id string, round_id string, url string, `from` timestamp_ntz, `to` timestamp_ntz, "
     "observable_id string, created_by string",
+    "derived_triggers": "event_type string, round_id string, robot_id string, observable_name string, x_dim int, y_dim int, "
+    "obs_type string, routing_key string",
+    "frontend_triggers": "event_type string, round_id string, robot_id string, observable_name string, x_dim int, y_dim int, "
+    "obs_type string, routing_key string",
+    "failed_events": _FAILED,
+    "failed_displays": _FAILED,
+    "output_alerts": _ALERT,
+    "quarantine": "file_id string, round_id string, robot_id string, observable_name string, line_number int, line string, reason string",
+    "accepted_files": "file_id string, digest string, file_bucket int",
+    "counter_changes": "round_id string, round_number int, time timestamp_ntz, is_valid_round int",
+    "dim_changes": "round_id string, x_dim int, y_dim int",
+    "touched_units": "round_id string, round_number int, day_of_production int, time timestamp_ntz, to_round int, to_day int, "
+    "to_time timestamp_ntz",
+    "unit_marks": "round_id string, observable_name string, marked_by bigint, last_round_number int, last_day int, "
+    "last_time timestamp_ntz, newest_window timestamp_ntz, closed_window timestamp_ntz, was_last_round_number int, was_last_day int, "
+    "was_last_time timestamp_ntz, was_newest_window timestamp_ntz, was_closed_window timestamp_ntz",
+    "cell_spans": "round_id string, lap_block int, first_day int, last_day int, first_time timestamp_ntz, last_time timestamp_ntz",
+    "latest_cells": f"{_PLACE}, {_ID}, round_number int",
     "new_units": "round_id string, observable_name string, lap int, day int, time timestamp_ntz, is_new_round boolean, "
     "is_new_day boolean, is_new_time_of_day boolean, is_new_hourly_overview boolean, stored_lap int, is_known_cycle boolean",
     "triggers": "event_type string, round_id string, robot_id string, observable_name string, x_dim int, y_dim int, obs_type string, "

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from threading import Lock
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return configure(spark)
 
 
+_own_folders: dict[str, str] = {}
+
+
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary folder stands in only where the master is this machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,11 +57,13 @@ def staging_dir(spark: SparkSession) -> str:
         return shared
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    shared = tempfile.mkdtemp(prefix="gridlap-stage-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:  # the setting belongs to the running context and cannot be given to it now
+        _own_folders[app] = tempfile.mkdtemp(prefix="gridlap-stage-")
+    return _own_folders[app]
 
 
+_counting = Lock()
 _scope: ContextVar[tuple[str, Counter] | None] = ContextVar("gridlap_stage", default=None)
 
 
@@ -85,8 +91,9 @@ def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFr
     if scope is None:
         folder = f"{name}-{uuid.uuid4().hex}"
     else:
-        scope[1][name] += 1
-        folder = f"{scope[0]}/{name}-{scope[1][name]}"
+        with _counting:  # jobs that run side by side share the scope
+            scope[1][name] += 1
+            folder = f"{scope[0]}/{name}-{scope[1][name]}"
     path = f"{staging_dir(spark).rstrip('/')}/gridlap/{folder}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -48,10 +48,17 @@ def _header_positions(rows: DataFrame) -> DataFrame:
     return headers.select("file_id", F.size("_columns").alias("_width"), *places)
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+# Why a line is kept apart.
+NO_HEADER, MIXED, TOO_MANY, NO_NUMBER, NO_TIME, NO_PLACE = (
+    "no header", "JSON in a CSV file", "too many fields", "value is not a number", "no time", "no place",
+)
+
+
+def parse_lines(lines: DataFrame, keep_bad: bool = False) -> DataFrame:
     """``(file_id, line, ...)`` to ``(file_id, ..., time, x, y, z, value, is_bad)``.
 
-    CSV columns are found by the names in the file's header; their x and y are swapped, JSON's are not.
+    CSV columns are found by the names in the file's header; their x and y are swapped, JSON's are not. With ``keep_bad`` bad lines stay
+    with their text and why they are bad (``bad_line``, ``reason``); the text of other lines goes no further.
     """
     carried = [c for c in lines.columns if c != "line"]
     rows = lines.withColumn("line", F.trim("line")).filter(F.col("line") != "")
@@ -73,17 +80,25 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     places = [_grid(F.get("_j.coordinates", F.lit(i))).alias(c) for i, c in enumerate("xyz")]
     from_json = json.select(
         *carried, "_width", reading_time(F.col("_j.timestamp")).alias("time"), *places,
-        nan_to_null(F.col("_j.data")).alias("value"), F.col("_width").isNotNull().alias("_misfit"),
+        nan_to_null(F.col("_j.data")).alias("value"), F.when(F.col("_width").isNotNull(), MIXED).alias("_misfit"), "line",
     )
     no_number = (F.coalesce("_value", F.lit("")) != "") & F.col("_value").try_cast("double").isNull()
     from_csv = csv.select(
         *carried, "_width", reading_time(field("timestamp")).alias("time"), _grid(_number(field("y"))).alias("x"),
         _grid(_number(field("x"))).alias("y"), _grid(_number(field("z"))).alias("z"), _number(F.col("_value")).alias("value"),
-        (F.col("_width").isNull() | (F.size("_fields") > F.col("_width")) | no_number).alias("_misfit"),
+        F.when(F.col("_width").isNull(), NO_HEADER).when(F.size("_fields") > F.col("_width"), TOO_MANY).when(no_number, NO_NUMBER).alias("_misfit"), "line",
     )
-    missing = F.col("time").isNull() | F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()
-    parsed = from_csv.unionByName(from_json).withColumn("is_bad", F.col("_misfit") | missing)
-    return parsed.select(*carried, "time", "x", "y", "z", "value", "is_bad")
+    no_place = F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()
+    reason = F.coalesce("_misfit", F.when(F.col("time").isNull(), NO_TIME).when(no_place, NO_PLACE))
+    parsed = from_csv.unionByName(from_json).withColumn("reason", reason).withColumn("is_bad", F.col("reason").isNotNull())
+    kept = [F.when(F.col("is_bad"), F.col("line")).alias("bad_line"), "reason"] if keep_bad else []
+    return parsed.select(*carried, "time", "x", "y", "z", "value", "is_bad", *kept)
+
+
+def quarantined(parsed: DataFrame) -> DataFrame:
+    """The bad lines of ``parse_lines(..., keep_bad=True)`` with their file and, where known, their number in it."""
+    number = F.col("line_number") if "line_number" in parsed.columns else F.lit(None).cast("int").alias("line_number")
+    return parsed.filter("is_bad").select("file_id", "round_id", "robot_id", "observable_name", number, F.col("bad_line").alias("line"), "reason")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -157,11 +172,15 @@ def parse_envelopes(messages: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def envelope_readings(envelopes: DataFrame) -> DataFrame:
-    """Readings inside the messages of :func:`parse_envelopes`; a message delivered twice counts once."""
+def envelope_readings(envelopes: DataFrame, keep_bad: bool = False) -> DataFrame:
+    """Readings inside the messages of :func:`parse_envelopes`; a message delivered twice counts once. ``keep_bad``: as in :func:`parse_lines`, with
+    the number of each line in its file."""
     files = envelopes.dropDuplicates(["file_id"])
-    lines = files.select("file_id", *FILE_FIELDS, F.explode(F.split("content", r"\r?\n")).alias("line"))
-    return parse_lines(lines)
+    texts = F.split("content", r"\r?\n")
+    if keep_bad:
+        lines = files.select("file_id", *FILE_FIELDS, F.posexplode(texts).alias("line_number", "line"))
+        return parse_lines(lines.withColumn("line_number", F.col("line_number") + 1), keep_bad)
+    return parse_lines(files.select("file_id", *FILE_FIELDS, F.explode(texts).alias("line")))
 
 
 def envelope_manifest(envelopes: DataFrame) -> DataFrame:

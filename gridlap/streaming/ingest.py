@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.pipeline import Controls, process_batch
 from ..session import configure, stage, staging_scope
 from ..sources.messages import parse_envelopes
+from .fence import open_writer
 from .store import Store
 
 
@@ -26,18 +27,22 @@ def start_ingest(
     checkpoint: str,
     available_now: bool = False,
     frontend: bool = True,
+    rollups: bool = True,
 ) -> StreamingQuery:
     """Run every micro-batch of ``messages`` (column ``value``) through the pipeline.
 
     A message counts as read only once its batch is written: the offsets are committed after ``foreachBatch`` returns, and a
-    batch that is delivered again replaces its own rows. ``controls`` is called per batch, so that new laps and cycles are seen.
+    batch that is delivered again replaces its own rows. ``controls`` is called per batch, so that new laps and cycles are seen. The
+    store numbers the batches, so a stream with a fresh checkpoint goes on behind the earlier ones, and a start shuts out whoever wrote before.
+    Without ``rollups`` the stream ends at cells and triggers (see :mod:`gridlap.streaming.triggered`).
     """
+    writer = open_writer(store.spark, store.root, checkpoint, "ingest")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # The batch is written out once; all further work runs in the store's session, with adaptive execution.
         with staging_scope(f"stream-{hashlib.sha256(store.root.encode()).hexdigest()[:16]}"):
             envelopes = stage(parse_envelopes(batch), "envelopes", configure(store.spark))
-            process_batch(store, envelopes, controls(), batch_id, frontend)
+            process_batch(store, envelopes, controls(), writer.number(batch_id), frontend, rollups)
 
-    writer = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    stream = messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (stream.trigger(availableNow=True) if available_now else stream).start()

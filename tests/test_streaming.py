@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from frames import counter, cycles, rows_of, sensors
 
-from gridlap.plans.pipeline import Controls, ingest, process_batch
+from gridlap.plans.pipeline import Controls, ingest, process_batch, refresh_cells
 from gridlap.session import stage
 from gridlap.sources.messages import parse_envelopes
 from gridlap.streaming.ingest import message_files, start_ingest
@@ -207,10 +207,11 @@ def test_a_file_sent_again_counts_once(spark, tmp_path, controls):
 
 
 def take_in(spark, root, controls, batches):
-    """The first step of a batch alone: partials, alerts, triggers."""
+    """The first steps of a batch alone: partials, alerts, triggers, cells and their state."""
     store = Store(spark, str(root))
     for i, batch in enumerate(batches):
-        ingest(store, parse_envelopes(spark.createDataFrame([(m,) for m in batch], "value string")), controls, i)
+        slices = ingest(store, parse_envelopes(spark.createDataFrame([(m,) for m in batch], "value string")), controls, i)
+        refresh_cells(store, controls, slices, i)
     return store
 
 
