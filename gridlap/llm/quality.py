@@ -138,16 +138,6 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out_fold=(0, 5))
     return score(docs, model).select(
-        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
-
-def report(found, folder):
-    """Held-out accuracy, for trials by hand."""
-    import pandas as pd
-
-    labels = pd.read_parquet(f"{folder}/labels.parquet")
-    both = found[found.held_out].merge(labels, on="doc_id")
-    for q in (0, 1):
-        own = both[both.quality == q]
-        print("label", q, "rows", len(own), "predicted 1:", round(own.predicted.mean(), 4), own.score.quantile([0.01, 0.1, 0.5, 0.9, 0.99]).round(3).tolist())

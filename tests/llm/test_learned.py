@@ -35,6 +35,15 @@ def test_cache_is_used_and_filled(spark, frame, prose):
     assert counts(token_counts.cached_counts(frame(rows), PATH, versioned)) == true
 
 
+def test_ranks_count_as_the_library(spark, sf_dir):
+    plain, fast = token_counts._encoder(PATH), token_counts._encoder(PATH, token_counts.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    end = "<|endoftext|>"
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    texts += ["", end, f"a{end}", f" {end} b", f"{end}{end}x\n", f"a {end}  {end} ", "<|endof", "日本語 and Ελλ", "😀é", "a" * 900, "  \n\n  x", "1234567 it's I'LL"]
+    texts += ["".join(chr(c) for c in range(lo, lo + 16)) for lo in range(0, 0x250, 16)] + [f"a{chr(c)}b {chr(c)} 1{chr(c)}" for c in range(0x250)]
+    assert fast(texts) == plain(texts)
+
+
 def test_counts_of_an_empty_table(spark, frame):
     cache = new_folder(spark, "test-cache")
     assert token_counts.cached_counts(frame([]), PATH, cache).count() == 0
