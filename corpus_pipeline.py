@@ -20,12 +20,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class of near duplicates; of repeated rows of it, one."""
+    """The document with the smallest doc_id of each class of near duplicates; of repeated rows of it, one. Rows that repeat a doc_id with other texts stay."""
     classes = jaccard_join.jaccard_classes(docs)
     gone = classes.where("doc_id != class_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
-    with_id = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return with_id.union(kept.where("doc_id IS NULL"))
+    with_id = kept.where("doc_id IS NOT NULL").withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"])
+    return with_id.select(COLUMNS).union(kept.where("doc_id IS NULL"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
