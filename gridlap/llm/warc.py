@@ -246,11 +246,15 @@ def with_targets(records: DataFrame) -> DataFrame:
     targets = records.where("record_type = 'response' AND own_bytes IS NOT NULL")
     named = targets.groupBy(F.col("record_id").alias("refers_to")).agg(F.max("own_bytes").alias("named_bytes"), F.max("own_digest").alias("named_digest"))
     alike = targets.groupBy(F.col("own_digest").alias("digest")).agg(F.max("own_bytes").alias("alike_bytes"))
-    out = records.join(named, "refers_to", "left").join(alike, "digest", "left")
-    return out.select(
-        page_id_of(F.col("record_id")).alias("page_id"), F.coalesce("own_bytes", "named_bytes", "alike_bytes").alias("payload_bytes"),
-        F.coalesce("own_digest", "named_digest", "digest").alias("payload_digest"), "record_type", page_id_of(F.col("refers_to")).alias("refers_to"), "complete",
-    )
+    # Only revisits look for a response; the others would meet in the task of the missing name.
+    revisits = records.where("refers_to IS NOT NULL").join(named, "refers_to", "left").join(alike, "digest", "left")
+    sizes = [F.coalesce("own_bytes", "named_bytes", "alike_bytes").alias("payload_bytes"), F.coalesce("own_digest", "named_digest", "digest").alias("payload_digest")]
+    own = [F.col("own_bytes").alias("payload_bytes"), F.coalesce("own_digest", "digest").alias("payload_digest")]
+
+    def row(numbers: list[Column]) -> list[Column]:
+        return [page_id_of(F.col("record_id")).alias("page_id"), *numbers, F.col("record_type"), page_id_of(F.col("refers_to")).alias("refers_to"), F.col("complete")]
+
+    return revisits.select(*row(sizes)).union(records.where("refers_to IS NULL").select(*row(own)))
 
 
 ORACLE_SQL = f"""
