@@ -72,6 +72,7 @@ class Writer:
     stream: str
     epoch: int
     numbers: dict[tuple[str, str], int] = field(default_factory=dict)
+    floor: int = -1  # the last batch that a store got in another way, as by compaction
 
     def check(self) -> None:
         if self.files.exists(f"{self.folder}/epochs/{self.epoch + 1:012d}"):
@@ -88,7 +89,7 @@ class Writer:
         self.check()
         own = (self.stream, str(batch_id))
         while own not in self.numbers:
-            taken = max(self.numbers.values(), default=-1)
+            taken = max([self.floor, *self.numbers.values()])
             if self.files.create(f"{self.folder}/batches/{taken + 1:012d}", " ".join(own)):
                 self.numbers[own] = taken + 1
             else:
@@ -106,6 +107,7 @@ def open_writer(spark: SparkSession, root: str, checkpoint: str, role: str) -> W
     stream = files.read(identity)
     while not files.create(f"{folder}/epochs/{epoch:012d}", stream):
         epoch += 1
-    writer = Writer(files, folder, stream, epoch)
+    stored = [int(n.split("=")[1]) for n in files.names(f"{root.rstrip('/')}/partials") if n.startswith("batch_id=")] if role == "ingest" else []
+    writer = Writer(files, folder, stream, epoch, floor=max(stored, default=-1))
     writer._look()
     return writer

@@ -67,6 +67,8 @@ ROW_SLICES: dict[str, Callable[[], Column]] = {
     "latest_cells": lambda: F.lit(0),
     "cell_spans": lambda: F.col("lap_block"),
 }
+# Batch tables that later batches look back on.
+LOGS = ["accepted_files", "counter_changes", "dim_changes"]
 # Folders inside a batch, for tables that are looked up by part.
 BATCH_PARTS = {"accepted_files": ["file_bucket"]}
 
@@ -176,10 +178,20 @@ class Store:
         return merge_partials(rows)
 
     def compact(self, target: Store) -> None:
-        """Fold all batches into one in a fresh store; a stream restarted on ``target`` continues with later batch ids."""
+        """Fold all batches into one in a fresh store, with the sliced tables and what is remembered between batches.
+
+        A stream started on ``target`` goes on behind the last batch. Alerts, audit and triggers stay where they are.
+        """
         newest = self.batches("partials").agg(F.max("batch_id")).first()[0]
-        if newest is not None:
-            target.put_batch("partials", self.partials(), newest)
+        if newest is None:
+            return
+        target.put_batch("partials", self.partials(), newest)
+        for table in ROW_SLICES:
+            rows = self._load(table, "slice int, is_empty boolean")
+            rows.repartition("round_id", "slice").write.mode("overwrite").partitionBy("round_id", "slice").parquet(target.path(table))
+        for table in LOGS:
+            parts = BATCH_PARTS.get(table, [])
+            self.log(table, newest + 1).write.mode("overwrite").partitionBy(*parts).parquet(f"{target.path(table)}_folds/upto={newest}")
 
     # Sliced tables ------------------------------------------------------------------------------------------------------
 

@@ -12,6 +12,7 @@ from frames import counter, cycles, rows_of, sensors
 from gridlap.plans.pipeline import Controls, ingest, process_batch, refresh_cells
 from gridlap.session import stage
 from gridlap.sources.messages import parse_envelopes
+from gridlap.streaming.fence import open_writer
 from gridlap.streaming.ingest import message_files, start_ingest
 from gridlap.streaming.store import Store
 
@@ -162,12 +163,16 @@ def test_compaction_keeps_the_cells(spark, tmp_path, controls):
     store = Store(spark, str(tmp_path / "a"))
     for i in (0, 1):
         files = parse_envelopes(spark.createDataFrame([(m,) for m in every[6 * i : 6 * i + 6]], "value string"))
-        ingest(store, stage(files, "m"), controls, i)
+        refresh_cells(store, controls, ingest(store, stage(files, "m"), controls, i), i)
     target = Store(spark, str(tmp_path / "b"))
     store.compact(target)
     columns = ["round_id", "observable_name", "round_number", "x", "y", "value_sum", "rows", "first_key"]
     assert rows_of(target.partials(), *columns) == rows_of(store.partials(), *columns)
     assert rows_of(target.batches("partials").select("batch_id").distinct(), "batch_id") == [(1,)]
+    for table in ("cells", "unit_marks", "cell_spans"):
+        assert target.read(table).count() == store.read(table).count() > 0
+    assert rows_of(target.log("accepted_files", 2), "file_id") == rows_of(store.log("accepted_files", 2), "file_id") != []
+    assert open_writer(spark, target.root, str(tmp_path / "offsets"), "ingest").number(0) == 2
 
 
 def test_only_touched_folders_are_read(spark, tmp_path, controls):
