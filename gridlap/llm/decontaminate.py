@@ -1,15 +1,16 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Item lengths are rounded down to classes a fifth apart. Of each item the first and the last words, as many as its class says, get a 64-bit
-SimHash over word pairs; documents get one at every word for every class in use, from running sums of the bits. The 64 bits are cut in four
-blocks: two fingerprints within ``RADIUS`` agree in one block up to a quarter of it, so a table of all block values that near is
+SimHash over word pairs; documents get one at every word for every class in use, from running sums of the bits. The 64 bits are cut in three
+blocks: two fingerprints within ``RADIUS`` agree in one block up to a third of it, so an index of all block values that near is
 enough to find every fingerprint within the radius. What is found is verified by the weighted Jaccard similarity (each shingle counts as often as it
 occurs) of five-word shingles between the whole item and the window of its length.
 
 Windows that the text's end cuts short, which may be shorter than the class and are all there is of a text shorter than its item, are searched
 exactly: of the shingles of an item more than a fifth, the rarest, are in an index, and a window without any of those is below the threshold.
 
-Items are given to the tasks in passes of at most ``ITEMS`` items, so what is sent is bounded; documents are never shuffled.
+Different item texts are given to the tasks in passes of about ``ITEMS`` texts and ``ITEM_BYTES`` bytes, so what is sent is bounded; a worker builds the indexes of a pass
+once. Hits are joined with the items by the digest of their text. Documents are never shuffled.
 
 Edge cases: items that are null or have fewer than five words are not searched; null and empty texts and texts of fewer than five words match nothing; repeated items and
 repeated rows are answered each; at a document's end the window is cut; of several places the most similar, then the first, is reported; empty
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 from gridlap.llm.common import by_bytes, hashed_words, map_arrow, shingles
 
 WORDS, THRESHOLD = 5, 0.8
-RADIUS, BLOCKS = 11, 4
-STRIDE, ITEMS = 8_192, 20_000
-HIT_SCHEMA = "doc_id long, item_id long, similarity double, first_word int, n_words int"
+RADIUS, BLOCKS = 11, (21, 21, 22)  # bits of each block of a fingerprint
+STRIDE, ITEMS, ITEM_BYTES = 8_192, 2_000, 8 << 20
+HIT_SCHEMA = "doc_id long, digest string, similarity double, first_word int, n_words int"
 
 
 def size_class(words: int) -> int:
@@ -56,69 +57,86 @@ def running_bits(words: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(sums: np.ndarray, size: int) -> np.ndarray:
-    """SimHashes of all windows of ``size`` words, as rows of four 16-bit blocks."""
-    return np.packbits(sums[size - 1 :] > sums[: len(sums) - size + 1], axis=1).view(np.uint16)
+    """SimHashes of all windows of ``size`` words."""
+    return np.packbits(sums[size - 1 :] > sums[: len(sums) - size + 1], axis=1).view(np.uint64)[:, 0]
+
+
+class BlockIndex:
+    """The fingerprints of one class by all values that one block of their bits has within some flips.
+
+    The values are a bitmap with the number of values before each of its words, so that a look-up is a bit and a count of bits.
+    """
+
+    def __init__(self, prints: np.ndarray, shift: int, bits: int, flips: int) -> None:
+        self.shift, self.mask = np.uint64(shift), np.uint64((1 << bits) - 1)
+        masks = block_masks(bits, flips)
+        values = (((prints >> self.shift) & self.mask)[:, None] ^ masks[None, :]).ravel()
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+        self.members = (order // len(masks)).astype(np.int32)
+        self.offsets = np.append(first, len(values)).astype(np.int64)
+        present = np.zeros(1 << bits, dtype=np.uint8)
+        present[values[first]] = 1
+        self.words = np.packbits(present, bitorder="little").view("<u8")
+        self.before = np.zeros(len(self.words), dtype=np.int32)
+        np.cumsum(np.bitwise_count(self.words[:-1]), out=self.before[1:])
+
+    def candidates(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, fingerprint) pairs that are near each other in this block."""
+        value = (found >> self.shift) & self.mask
+        word = self.words[(value >> np.uint64(6)).view(np.int64)]
+        bit = np.uint64(1) << (value & np.uint64(63))
+        at = np.flatnonzero(word & bit)
+        value, word, bit = value[at], word[at], bit[at]
+        rank = self.before[(value >> np.uint64(6)).view(np.int64)] + np.bitwise_count(word & (bit - np.uint64(1)))
+        begin = self.offsets[rank]
+        count = self.offsets[rank + 1] - begin
+        ends = np.cumsum(count)
+        which = self.members[np.repeat(begin - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.repeat(at, count), which
 
 
 @dataclass
 class ClassIndex:
-    """Fingerprints of one class with, per block, the fingerprints near each block value."""
+    """Fingerprints of one class with the item of each, the first word of the item that it covers, and an index per block."""
 
     prints: np.ndarray
     items: np.ndarray
     back: np.ndarray
-    offsets: list[np.ndarray]
-    members: list[np.ndarray]
+    blocks: list[BlockIndex]
 
     def near(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, fingerprint) pairs within the radius."""
-        windows, prints = [], []
-        for block in range(BLOCKS):
-            begin = self.offsets[block][found[:, block]]
-            count = self.offsets[block][found[:, block].astype(np.int64) + 1] - begin
-            at = np.flatnonzero(count)
-            if not len(at):
-                continue
-            count, begin = count[at], begin[at]
-            ends = np.cumsum(count)
-            which = self.members[block][np.repeat(begin - (ends - count), count) + np.arange(ends[-1])]
-            window = np.repeat(at, count)
-            apart = np.bitwise_count(found[window].view(np.uint64)[:, 0] ^ self.prints[which].view(np.uint64)[:, 0])
-            close = apart <= RADIUS
-            windows.append(window[close])
-            prints.append(which[close])
-        if not windows:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        both = np.unique(np.concatenate(windows) * np.int64(len(self.prints)) + np.concatenate(prints))
+        pairs = []
+        for block in self.blocks:
+            window, which = block.candidates(found)
+            close = np.bitwise_count(found[window] ^ self.prints[which]) <= RADIUS
+            pairs.append(window[close] * np.int64(len(self.prints)) + which[close])
+        both = np.unique(np.concatenate(pairs))
         return both // len(self.prints), both % len(self.prints)
 
 
-def block_masks(radius: int) -> np.ndarray:
-    """All 16-bit values with at most ``radius`` bits set."""
-    return np.array([sum(1 << b for b in bits) for n in range(radius + 1) for bits in combinations(range(16), n)], dtype=np.uint16)
+def block_masks(bits: int, flips: int) -> np.ndarray:
+    """All values of ``bits`` bits with at most ``flips`` set."""
+    return np.array([sum(1 << b for b in chosen) for n in range(flips + 1) for chosen in combinations(range(bits), n)], dtype=np.uint64)
 
 
 def build_index(items: list[np.ndarray]) -> dict[int, ClassIndex]:
     """Class indexes of items given as word hashes."""
-    by_class: dict[int, list[tuple[np.ndarray, int, int]]] = {}
+    by_class: dict[int, list[tuple[np.uint64, int, int]]] = {}
     for k, words in enumerate(items):
         if len(words) >= WORDS:
             size = size_class(len(words))
-            for back in {0, len(words) - size}:
+            for back in sorted({0, len(words) - size}):
                 part = words[back : back + size]
                 by_class.setdefault(size, []).append((fingerprints(running_bits(part), size)[0], k, back))
-    masks = block_masks(RADIUS // BLOCKS)
+    shifts = np.cumsum((0, *BLOCKS[:-1])).tolist()
     found = {}
     for size, rows in sorted(by_class.items()):
-        prints = np.array([r[0] for r in rows], dtype=np.uint16)
-        offsets, members = [], []
-        for block in range(BLOCKS):
-            values = (prints[:, block, None] ^ masks[None, :]).ravel()
-            owner = np.repeat(np.arange(len(rows)), len(masks))
-            order = np.argsort(values, kind="stable")
-            offsets.append(np.searchsorted(values[order], np.arange(65_537)).astype(np.int32))
-            members.append(owner[order].astype(np.int32))
-        found[size] = ClassIndex(prints, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), offsets, members)
+        prints, owners, back = (np.array(column, dtype=kind) for column, kind in zip(zip(*rows), (np.uint64, np.int64, np.int64)))
+        blocks = [BlockIndex(prints, shift, bits, RADIUS // len(BLOCKS)) for shift, bits in zip(shifts, BLOCKS)]
+        found[size] = ClassIndex(prints, owners, back, blocks)
     return found
 
 
@@ -229,32 +247,57 @@ def search(words: np.ndarray, begins: np.ndarray, items: list[np.ndarray], grams
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words) of every row and item that it holds."""
-    wanted = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    passes = max(1, -(-wanted.count() // items_per_pass))
+    wanted = benchmark.where("text IS NOT NULL").select("item_id", "text", F.sha2("text", 256).alias("digest"))
+    texts = wanted.groupBy("digest").agg(F.any_value("text").alias("text"))
+    n, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    passes = max(1, -(-n // items_per_pass), -(-size // ITEM_BYTES))
     out = None
     for k in range(passes):
-        part = wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
-        hits = _one_pass(docs, part.collect())  # about items_per_pass rows
+        part = texts.where(F.pmod(F.xxhash64("digest"), F.lit(passes)) == k)
+        hits = _one_pass(docs, part.collect())  # about items_per_pass texts and ITEM_BYTES bytes at most
         out = hits if out is None else out.union(hits)
-    return out
+    return out.join(wanted.select("digest", "item_id"), "digest").select("doc_id", "item_id", "similarity", "first_word", "n_words")
 
 
-def _one_pass(docs: DataFrame, rows: list) -> DataFrame:
-    texts, ids = [r.text for r in rows], [r.item_id for r in rows]
+@dataclass
+class Prepared:
+    """What the documents of a pass are searched with."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    items: list[np.ndarray]
+    grams: list[np.ndarray]
+    index: dict[int, ClassIndex]
+    rare: RareShingles
+
+
+_prepared: dict[tuple[str, ...], Prepared] = {}
+
+
+def prepare(digests: tuple[str, ...], texts: list[str]) -> Prepared:
+    """The indexes of a pass, built once per worker process; those of the pass before go."""
+    if digests not in _prepared:
+        _prepared.clear()
         words, at = hashed_words(texts)
         items = [words[a:b] for a, b in zip(at[:-1], at[1:])]
         grams = [shingles(w, WORDS) for w in items]
-        index, rare = build_index(items), build_rare([g if len(w) >= WORDS else g[:0] for w, g in zip(items, grams)])
+        rare = build_rare([g if len(w) >= WORDS else g[:0] for w, g in zip(items, grams)])
+        _prepared[digests] = Prepared(items, grams, build_index(items), rare)
+    return _prepared[digests]
+
+
+def _one_pass(docs: DataFrame, rows: list) -> DataFrame:
+    rows = sorted(rows)
+    digests, item_texts = tuple(r.digest for r in rows), [r.text for r in rows]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = prepare(digests, item_texts)
         for batch in batches:
             doc_ids, values = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             found = []
             for lo, hi in by_bytes(values, 1 << 19):
-                for (t, k), (similarity, first, n) in sorted(search(*hashed_words(values[lo:hi]), items, grams, index, rare).items()):
-                    found.append((doc_ids[lo + t], ids[k], similarity, -first, n))
+                for (t, k), (similarity, first, n) in sorted(search(*hashed_words(values[lo:hi]), own.items, own.grams, own.index, own.rare).items()):
+                    found.append((doc_ids[lo + t], digests[k], similarity, -first, n))
             columns = list(zip(*found)) if found else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in HIT_SCHEMA.split(", ")])
 
     return map_arrow(docs.select("doc_id", "text"), run, HIT_SCHEMA)

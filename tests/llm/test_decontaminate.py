@@ -68,6 +68,33 @@ def test_several_passes_agree(frame, items, prose):
     assert one == {tuple(r) for r in dc.contaminated(docs, items, items_per_pass=7).collect()} and len(one) == 11
 
 
+def test_a_repeated_item_is_searched_once_and_answered_each_time(spark, frame, prose):
+    rows = [(k, prose(5, 30)) for k in range(40)] + [(7, prose(6, 30)), (None, prose(6, 30))]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = frame([(1, prose(1, 100) + " " + prose(5, 30)), (2, prose(6, 30)), (2, prose(6, 30))])
+    found = sorted((r.doc_id, -1 if r.item_id is None else r.item_id) for r in dc.contaminated(docs, items, items_per_pass=1).collect())
+    assert found == [(1, k) for k in range(40)] + [(2, -1), (2, -1), (2, 7), (2, 7)]
+
+
+def test_words_changed_inside_an_item(frame, spark, prose):
+    """One or two words replaced, removed or added inside an item, wherever the rest is still similar enough."""
+    rng = np.random.default_rng(11)
+    items = [prose(3000 + n, n) for n in range(15, 120, 5)]
+    texts = []
+    for item in items:
+        for _ in range(6):
+            words = item.split()
+            for _ in range(rng.integers(1, 3)):
+                at = int(rng.integers(1, len(words) - 1))
+                words[at : at + int(rng.integers(0, 2))] = ["changed"] * int(rng.integers(0, 2))
+            texts.append(" ".join([prose(len(texts), 20), *words, prose(len(texts) + 500, 20)]))
+    expected = by_all_windows(texts, items)
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (pytest.approx(r.similarity), r.first_word, r.n_words) for r in dc.contaminated(frame(enumerate(texts)), table).collect()}
+    assert set(found) <= set(expected) and len(expected) > 60
+    assert len(found) >= 0.98 * len(expected)
+
+
 def test_empty_tables(spark, frame, items):
     assert dc.contaminated(frame([]), items).count() == 0
     assert dc.contaminated(frame([(1, "some text of several words here")]), items.limit(0)).count() == 0
@@ -77,13 +104,13 @@ def test_index_finds_all_within_the_radius():
     rng = np.random.default_rng(5)
     items = [rng.integers(0, 2**63, 14).astype(np.uint64) for _ in range(30)]
     index = dc.build_index(items)[14]
-    prints = rng.integers(0, 1 << 16, (3000, 4)).astype(np.uint16)
+    prints = rng.integers(0, 2**64, 3000, dtype=np.uint64)
     near = index.prints[rng.integers(0, len(index.prints), 3000)].copy()
-    for row in near:  # up to twelve flipped bits
+    for k in range(len(near)):  # up to twelve flipped bits
         for bit in rng.choice(64, rng.integers(0, 13), replace=False):
-            row[bit // 16] ^= np.uint16(1 << (bit % 16))
-    both = np.ascontiguousarray(np.vstack([prints, near]))
-    apart = np.bitwise_count(both.view(np.uint64) ^ index.prints.view(np.uint64)[:, 0][None, :])
+            near[k] ^= np.uint64(1 << int(bit))
+    both = np.concatenate([prints, near])
+    apart = np.bitwise_count(both[:, None] ^ index.prints[None, :])
     expected = {(int(w), int(f)) for w, f in zip(*np.where(apart <= dc.RADIUS))}
     assert set(zip(*(x.tolist() for x in index.near(both)))) == expected and len(expected) > 2000
 
