@@ -10,8 +10,8 @@ neighbouring strings with one minimizer travel together as one stretch of text.
    give its longest previous factor; where it reaches ``length``, an earlier document has the string.
 4. The places are joined with the texts, and runs of removed bytes are cut out.
 
-Edge cases: a null text is the empty one; texts shorter than ``length`` bytes stay whole; equal doc_ids are never smaller than each other, and rows
-that repeat a doc_id are taken as one document whose places are shared; a row with a null doc_id stays whole and removes nothing; an empty
+Edge cases: a null text is the empty one; texts shorter than ``length`` bytes stay whole; equal doc_ids are never smaller than each other, and a row
+that repeats a doc_id is judged by its own text (rows that repeat it with other texts carry a hash of their text along); a row with a null doc_id stays whole and removes nothing; an empty
 table gives an empty result; extra columns are ignored; texts of any length are read whole.
 """
 
@@ -139,7 +139,7 @@ def shared_stretches(docs: DataFrame, length: int) -> DataFrame:
     return map_arrow(ordered, meet, "doc_id long, ordinal int")
 
 
-def _stretch_rows(ids: np.ndarray, texts: list[str | None], wanted: list[np.ndarray], length: int) -> pa.RecordBatch:
+def _stretch_rows(ids: np.ndarray, versions: np.ndarray, texts: list[str | None], wanted: list[np.ndarray], length: int) -> pa.RecordBatch:
     data, begins, starts, counts, least = stretches(_bytes_of(texts), length)
     owner, ordinal = _ordinals(begins, starts)
     first = np.searchsorted(starts, begins[:-1])
@@ -156,26 +156,27 @@ def _stretch_rows(ids: np.ndarray, texts: list[str | None], wanted: list[np.ndar
         pa.binary(), len(at), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[gather]))]
     )
     return pa.RecordBatch.from_arrays(
-        [pa.array(least[at].view(np.int64)), pa.array(ids[owner]), pa.array((starts - begins[owner]).astype(np.int32)), content],
-        names=["h", "doc_id", "start", "content"],
+        [pa.array(least[at].view(np.int64)), pa.array(ids[owner]), pa.array(versions[owner]), pa.array((starts - begins[owner]).astype(np.int32)), content],
+        names=["h", "doc_id", "version", "start", "content"],
     )
 
 
-STRETCH_SCHEMA = "h long, doc_id long, start int, content binary"
+STRETCH_SCHEMA = "h long, doc_id long, version long, start int, content binary"
 
 
 def stretch_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(h, doc_id, start, content) of the wanted stretches."""
+    """(h, doc_id, version, start, content) of the wanted stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_numpy(), batch.column("text").to_pylist()
+            ids, versions, texts = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy(), batch.column("text").to_pylist()
             numbers = batch.column("ordinals")
             for lo, hi in by_bytes(texts, BATCH_BYTES // 4):
-                yield _stretch_rows(ids[lo:hi], texts[lo:hi], [numbers[k].values.to_numpy() for k in range(lo, hi)], length)
+                yield _stretch_rows(ids[lo:hi], versions[lo:hi], texts[lo:hi], [numbers[k].values.to_numpy() for k in range(lo, hi)], length)
 
-    lists = wanted.groupBy("doc_id").agg(F.collect_list("ordinal").alias("ordinals"))
-    return map_arrow(docs.select("doc_id", "text").join(lists, "doc_id").select("doc_id", "text", "ordinals"), run, STRETCH_SCHEMA)
+    # A set holds no more than the stretches of the longest text, however many rows repeat the doc_id.
+    lists = wanted.groupBy("doc_id").agg(F.collect_set("ordinal").alias("ordinals"))
+    return map_arrow(docs.join(lists, "doc_id").select("doc_id", "version", "text", "ordinals"), run, STRETCH_SCHEMA)
 
 
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
@@ -236,8 +237,8 @@ def _content_digests(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _resolve(table: pa.Table, length: int) -> pa.RecordBatch:
-    """Removed places (doc_id, first, last) from whole minimizer groups."""
-    h, doc, start = (table.column(k).to_numpy() for k in ("h", "doc_id", "start"))
+    """Removed places (doc_id, version, first, last) from whole minimizer groups."""
+    h, doc, version, start = (table.column(k).to_numpy() for k in ("h", "doc_id", "version", "start"))
     content = table.column("content").combine_chunks()
     if isinstance(content, pa.ChunkedArray):
         content = pa.concat_arrays(content.chunks)
@@ -245,13 +246,13 @@ def _resolve(table: pa.Table, length: int) -> pa.RecordBatch:
     data = np.frombuffer(content.buffers()[2], dtype=np.uint8)
     c = _content_digests(data, offsets)
     order = np.lexsort([doc, c, h])
-    h, c, doc, start, begin_of, size = h[order], c[order], doc[order], start[order], offsets[:-1][order], np.diff(offsets)[order]
+    h, c, doc, version, start, begin_of, size = h[order], c[order], doc[order], version[order], start[order], offsets[:-1][order], np.diff(offsets)[order]
     new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))
     first = np.flatnonzero(new)
     group = np.cumsum(new) - 1
     earliest = doc[first][group]
     later = doc > earliest
-    spans = [(doc[later], start[later].astype(np.int64), start[later] + size[later])]
+    spans = [(doc[later], version[later], start[later].astype(np.int64), start[later] + size[later])]
     # Minimizers with several different stretches need the suffix order.
     h_of = h[first]
     alone = np.append(True, h_of[1:] != h_of[:-1]) & np.append(h_of[1:] != h_of[:-1], True)
@@ -270,13 +271,14 @@ def _resolve(table: pa.Table, length: int) -> pa.RecordBatch:
             at = np.flatnonzero(hit[slice(*hits_of[int(group[k])])])
             runs = np.split(at, np.flatnonzero(np.diff(at) > length) + 1)
             begin = np.array([r[0] for r in runs], dtype=np.int64) + start[k]
-            spans.append((np.full(len(runs), doc[k]), begin, np.array([r[-1] for r in runs], dtype=np.int64) + start[k] + length))
-    ids, begins, stops = (np.concatenate([s[k] for s in spans]) for k in range(3))
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(begins.astype(np.int32)), pa.array(stops.astype(np.int32))], names=["doc_id", "first", "last"])
+            spans.append((np.full(len(runs), doc[k]), np.full(len(runs), version[k]), begin, np.array([r[-1] for r in runs], dtype=np.int64) + start[k] + length))
+    ids, versions, begins, stops = (np.concatenate([s[k] for s in spans]) for k in range(4))
+    columns = [pa.array(ids), pa.array(versions), pa.array(begins.astype(np.int32)), pa.array(stops.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "first", "last"])
 
 
 def repeated_places(sent: DataFrame, length: int) -> DataFrame:
-    """(doc_id, first, last): half-open byte ranges to remove."""
+    """(doc_id, version, first, last): half-open byte ranges to remove."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -297,7 +299,7 @@ def repeated_places(sent: DataFrame, length: int) -> DataFrame:
             yield _resolve(table.combine_chunks(), length)
 
     ordered = sent.repartition(shuffle_width(sent.sparkSession), "h").sortWithinPartitions("h")
-    return map_arrow(ordered, run, "doc_id long, first int, last int")
+    return map_arrow(ordered, run, "doc_id long, version long, first int, last int")
 
 
 def merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
@@ -328,11 +330,19 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[0::2], edges[1::2]))
 
 
+def with_versions(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``version``: a hash of the text for rows whose doc_id occurs with several texts, else 0."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    hashes = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(text_hash).alias("least"), F.max(text_hash).alias("most"))
+    several = stage(hashes.where("least != most").select("doc_id", F.lit(True).alias("several")), "several")
+    return docs.join(several, "doc_id", "left").withColumn("version", F.when(F.col("several"), text_hash).otherwise(F.lit(0).cast("long"))).drop("several")
+
+
 def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, firsts, lasts): the places to remove of every document that has some."""
+    """(doc_id, version, firsts, lasts): the places to remove of every document (with its version) that has some."""
     if length < GRAM + 1:
         raise ValueError(f"length must be over {GRAM}")
-    docs, spark = docs.select("doc_id", "text"), docs.sparkSession
+    docs, spark = docs.select("doc_id", "version", "text"), docs.sparkSession
     release_shuffles(spark)
     path = new_folder(spark, "shared")
     shared_stretches(docs, length).write.parquet(path)
@@ -341,8 +351,8 @@ def removed_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     places = stage(repeated_places(stretch_texts(docs, wanted, length), length), "places")
     remove_folder(spark, path)
     release_shuffles(spark)
-    grouped = places.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("p"))
-    return grouped.select("doc_id", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"))
+    grouped = places.groupBy("doc_id", "version").agg(F.collect_set(F.struct("first", "last")).alias("p"))
+    return grouped.select("doc_id", "version", F.col("p.first").alias("firsts"), F.col("p.last").alias("lasts"))
 
 
 def _each_document(docs: DataFrame, length: int, make, schema: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -362,7 +372,8 @@ def _each_document(docs: DataFrame, length: int, make, schema: str, carry: Seque
 
     schema = ", ".join([schema, *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]])
     names = [c.split()[0].strip("`") for c in schema.split(", ")]
-    joined = docs.select("doc_id", "text", *carry).join(removed_runs(docs, length), "doc_id", "left")
+    docs = with_versions(docs.select("doc_id", "text", *carry))
+    joined = docs.join(removed_runs(docs, length), ["doc_id", "version"], "left")
     return map_arrow(joined.select("doc_id", "text", "firsts", "lasts", *carry), run, schema)
 
 

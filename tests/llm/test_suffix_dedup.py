@@ -46,6 +46,28 @@ def test_ties_repeats_and_nulls(frame, prose):
     ]
 
 
+def test_each_row_of_a_repeated_id_is_judged_by_its_own_text(frame, prose):
+    passage, own = prose(1, 40), prose(2, 12)
+    rows = [(1, passage), (2, passage), (2, own), (2, "short"), (2, own + passage), (2, own + passage), (2, None), (3, own + " " + passage[:60])]
+    earlier = {2: [passage], 3: [passage, own]}
+    out = sd.removal_digests(frame(rows)).collect()
+    expected = []
+    for doc, text in rows:
+        texts = dict(enumerate(earlier.get(doc, []))) | {9: text}
+        expected.append((doc, *sd.by_brute_force(texts)[9]))
+    assert sorted(tuple(r) for r in out) == sorted(expected)
+    assert all(r.n_removed <= r.n_bytes for r in out)
+
+
+def test_a_text_longer_than_a_batch(frame, prose):
+    passage, long = prose(1, 30), prose(3, 400_000)
+    texts = {1: long + passage, 2: prose(4, 60_000) + passage + long[1_000_000:1_300_000], 3: passage}
+    assert len(long) > sd.BATCH_BYTES
+    out = by_doc(sd.removal_digests(frame(texts.items())))
+    shared = len(passage.encode()) + len(long[1_000_000:1_300_000].encode())
+    assert out[1][1] == 0 and out[3][1] == out[3][0] and shared <= out[2][1] <= shared + 8
+
+
 def test_empty_table(frame):
     assert sd.removal_digests(frame([])).count() == 0
 
