@@ -16,7 +16,8 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import chain
 
 import public_tokenizers
@@ -29,6 +30,7 @@ from gridlap.llm.common import by_bytes, map_arrow
 STATE_LIMIT = 40_000
 PAIR_LIMIT = 150_000
 PIECE_LIMIT = 150_000
+DECODED = 512  # tokens that the streaming decoder takes at a time
 NONE = -1
 _LONE_SPACE = regex.compile(r" (?!\S)")
 
@@ -259,11 +261,11 @@ def decode_bytes(ids: Iterable[int], bytes_of: dict[int, bytes] | list[bytes]) -
     return b"".join([bytes_of[i] for i in ids])
 
 
-def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes] | list[bytes]) -> Iterator[str]:
-    """Text of a stream of ids, piece by piece, with every character whole."""
+def decode_stream(ids: Sequence[int], bytes_of: dict[int, bytes] | list[bytes], step: int = 1) -> Iterator[str]:
+    """Text of ids, ``step`` tokens at a time, with every character whole."""
     stream = Utf8Stream()
-    for i in ids:
-        text = stream.feed(bytes_of[i])
+    for lo in range(0, len(ids), step):
+        text = stream.feed(decode_bytes(ids[lo : lo + step], bytes_of))
         if text:
             yield text
     if rest := stream.finish():
@@ -276,21 +278,34 @@ _loaded: dict[tuple[str, str], tuple[Transducer, regex.Pattern]] = {}
 def _transducer(path: str, pattern: str) -> tuple[Transducer, regex.Pattern]:
     """One transducer per worker process and vocabulary; its tables serve later tasks too."""
     if (path, pattern) not in _loaded:
-        gc.disable()  # the tables hold millions of objects and no garbage; cycles are only among states, which stay
         _loaded[path, pattern] = Transducer(load_ranks(path)), regex.compile(pattern)
     return _loaded[path, pattern]
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """No garbage collection while a task fills the tables, which hold many objects and no garbage. Afterwards the collector works as before, but for the tables."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.freeze()
+        if was_on:
+            gc.enable()
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, split = _transducer(path, pattern)
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            for lo, hi in by_bytes(texts):
-                ids = [model.encode_text(t, split) for t in texts[lo:hi]]
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        with _uncollected():
+            for batch in batches:
+                doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+                for lo, hi in by_bytes(texts):
+                    ids = [model.encode_text(t, split) for t in texts[lo:hi]]
+                    yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
 
@@ -303,19 +318,22 @@ def round_trips(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         size = max(model.bytes_of) + 1
         bytes_of = [model.bytes_of.get(i, b"") for i in range(size)]
         text_of = [str(i) for i in range(size)]
-        for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            for lo, hi in by_bytes(texts):
-                rows = []
-                for text in texts[lo:hi]:
-                    ids = model.encode_text(text, split)
-                    shown = " ".join([text_of[i] for i in ids]).encode()
-                    rows.append((len(ids), hashlib.sha256(shown).hexdigest(), hashlib.sha256(decode_bytes(ids, bytes_of)).hexdigest()))
-                n, ids_digest, decoded_digest = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(decoded_digest)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        def row(text: str | None) -> tuple[int, str, str]:
+            ids = model.encode_text(text, split)
+            shown, decoded = " ".join([text_of[i] for i in ids]).encode(), hashlib.sha256()
+            for part in decode_stream(ids, bytes_of, DECODED):
+                decoded.update(part.encode())
+            return len(ids), hashlib.sha256(shown).hexdigest(), decoded.hexdigest()
+
+        with _uncollected():
+            for batch in batches:
+                doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
+                for lo, hi in by_bytes(texts):
+                    n, ids_digest, decoded_digest = zip(*map(row, texts[lo:hi]))
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(decoded_digest)],
+                        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    )
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -59,6 +59,23 @@ def test_stream_gives_whole_characters(data, cuts):
         assert len(stream.waiting) == 0
 
 
+@pytest.mark.parametrize("step", [1, 2, 7])
+def test_characters_cut_between_steps(model, library, step):
+    text = "日本語 😀😃 ö\u0301 𝔘𝔫𝔦 ꙮ" * 9
+    ids = library.encode_ordinary(text)
+    parts = list(bb.decode_stream(ids, model.bytes_of, step))
+    assert "".join(parts) == text and "\ufffd" not in "".join(parts)
+
+
+def test_the_collector_is_on_again_after_a_task():
+    import gc
+
+    assert gc.isenabled()
+    with bb._uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
+
+
 def test_rows(frame, library, prose):
     rows = [(1, None), (2, ""), (3, "  two  spaces \n\n end "), (4, prose(4, 5_000)), (4, prose(4, 5_000)), (None, "<|endoftext|>")]
     out = bb.round_trips(frame(rows, extra="ids"), PATH, PATTERN).collect()
