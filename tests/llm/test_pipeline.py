@@ -83,7 +83,7 @@ def test_token_stage(stages):
 
 
 def test_registered():
-    assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in entry.queries() if q == "pipeline" or q.startswith("op")}
+    assert {"pipeline", *(f"op{n}_" for n in range(1, 14))} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in entry.queries() if q == "pipeline" or q.startswith("op")}
 
 
 def test_edge_cases(spark, sf_dir, frame, prose):
