@@ -2,9 +2,10 @@
 
 An encoding is valid exactly when each pair of neighbouring tokens is: merging the bytes of the two by rank gives the two tokens back.
 So every prefix of a piece has one valid encoding, and it ends with the one token whose left neighbour, the last token of the shorter
-prefix, accepts it. The transducer reads bytes and keeps as its state the last token it has emitted and the bytes since then. Whatever
-all prefixes that a longer token may still extend agree on is emitted, so the lookahead is bounded by the longest token. States and
-transitions are built when first met, while their tables have room; a piece that leaves them is finished by the rule itself.
+prefix, accepts it. The transducer reads bytes; its state holds, for each prefix that a longer token may still extend, the last token of
+the prefix and the bytes since, so it looks back no further than the longest token. It gives the last token of each prefix, and the ids
+are read from these backwards. In a long piece, what all those prefixes agree on is emitted every ``EMIT_AFTER`` bytes. States and
+transitions are built when first met, and kept while their tables have room; beyond that they are built again for each use.
 
 Edge cases: a null or empty text has no tokens; bytes that no token covers cannot occur because all 256 single bytes are tokens (checked);
 texts of any length are encoded whole, piece by piece; repeated rows give repeated results; an empty table gives an empty result; extra
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlap.llm.common import by_bytes, map_arrow
 
-STATE_LIMIT = 40_000
-PAIR_LIMIT = 150_000
+STATE_LIMIT = 200_000
+PAIR_LIMIT = 300_000
 PIECE_LIMIT = 150_000
+SPAN_LIMIT = 300_000
 DECODED = 512  # tokens that the streaming decoder takes at a time
+EMIT_AFTER = 4096  # bytes of a piece after which the ids that are settled are emitted
 NONE = -1
 _LONE_SPACE = regex.compile(r" (?!\S)")
 
@@ -43,19 +46,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class State:
-    """Where the transducer stands after some bytes.
+class State(dict):
+    """Where the transducer stands after some bytes; the entries are the moves met so far, by byte.
 
-    ``root`` is the last token emitted. ``alive`` holds the prefixes that a token may still end behind: for each the bytes read since,
-    and the tokens from ``root`` up to it. The whole text read so far is the last of them.
+    ``alive`` lists, flat, the prefixes that a token may still end behind, longest bytes since first: for each the place of these bytes
+    in the trie of tokens, and the last token of the prefix. The whole text read so far is the last of them; ``last`` is its last token.
     """
 
-    __slots__ = ("root", "alive", "moves")
+    __slots__ = ("alive", "last")
 
-    def __init__(self, root: int, alive: tuple[tuple[bytes, tuple[int, ...]], ...]) -> None:
-        self.root = root
+    def __init__(self, alive: tuple[int, ...]) -> None:
         self.alive = alive
-        self.moves: dict[int, tuple[tuple[int, ...], State]] = {}
+        self.last = alive[-1]
 
 
 class Transducer:
@@ -64,14 +66,30 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.longest = max(map(len, ranks))
-        self.open_prefixes = {t[:n] for t in ranks for n in range(1, len(t))}
+        self.size = max(self.bytes_of) + 1
+        self.length = [len(self.bytes_of.get(i, b"")) for i in range(self.size)]
+        # The trie: where a byte leads from a place; the token that ends at a place, how deep it lies, whether tokens go on there.
+        self.goto: dict[int, int] = {}
+        self.token_at, self.depth, self.goes_on = [NONE], [0], [True]
+        for text, token in ranks.items():
+            place = 0
+            for byte in text:
+                self.goes_on[place] = True
+                key = place << 8 | byte
+                if key not in self.goto:
+                    self.goto[key] = len(self.token_at)
+                    self.token_at.append(NONE)
+                    self.depth.append(self.depth[place] + 1)
+                    self.goes_on.append(False)
+                place = self.goto[key]
+            self.token_at[place] = token
+        self.splits: dict[int, tuple[int, int] | None] = {}
         self.spines: dict[tuple[int, int], tuple[tuple[bytes, int], ...] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.spans: dict[str, tuple[int, ...]] = {}
-        self.start = State(NONE, ((b"", ()),))
-        self.states: dict[tuple, State] = {(NONE, self.start.alive): self.start}
+        self.start = State((0, NONE))
+        self.states: dict[tuple[int, ...], State] = {self.start.alive: self.start}
 
     def merge(self, data: bytes, below: int) -> list[bytes]:
         """The defining procedure: join the neighbouring parts of lowest rank, as long as that rank is under ``below``."""
@@ -84,6 +102,13 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that are joined last when a token is put together. None if the merges never give this token."""
+        if token not in self.splits:
+            parts = self.merge(self.bytes_of[token], token)
+            self.splits[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        return self.splits[token]
+
     def spine(self, token: int, side: int) -> tuple[tuple[bytes, int], ...] | None:
         """The parts that stand at one edge of a token while it is put together, each with the rank at which it is used up.
 
@@ -95,105 +120,93 @@ class Transducer:
         text = self.bytes_of[token]
         found: tuple[tuple[bytes, int], ...] | None = ((text, 1 << 60),)
         if len(text) > 1:
-            parts = self.merge(text, token)
-            rest = self.spine(self.ranks[parts[-side]], side) if len(parts) == 2 else None
+            parts = self.split(token)
+            rest = self.spine(parts[side], side) if parts else None
             found = None if rest is None else (*found, (rest[0][0], token), *rest[1:])
         self.spines[token, side] = found
         return found
 
     def accepts(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left`` (NONE: begin a piece): no merge across the two comes before those inside them."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            after = self.spine(right, 0)
-            before = () if left == NONE else self.spine(left, 1)
-            known = after is not None and before is not None
-            for a, a_used in before if known else ():
-                for b, b_used in after:
-                    # Of merges of one rank the one further left comes first.
-                    rank = self.ranks.get(a + b)
-                    if rank is not None and rank < a_used and rank <= b_used:
-                        known = False
-            if len(self.pairs) < PAIR_LIMIT:
-                self.pairs[key] = known
-        return known
-
-    def move(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
-        """What is emitted on ``byte``, and the next state."""
-        root, ranks, last = state.root, self.ranks, bytes((byte,))
+        after = self.spine(right, 0)
+        before = () if left == NONE else self.spine(left, 1)
+        if after is None or before is None:
+            return False
+        for a, a_used in before:
+            for b, b_used in after:
+                # Of merges of one rank the one further left comes first.
+                rank = self.ranks.get(a + b)
+                if rank is not None and rank < a_used and rank <= b_used:
+                    return False
+        return True
+
+    def move(self, state: State, byte: int) -> State:
+        """The state after ``byte``. Where the table is full, a new one serves this once and is not kept."""
+        goto, token_at, goes_on, pairs, size = self.goto, self.token_at, self.goes_on, self.pairs, self.size
         alive, whole = [], None
-        for since, path in state.alive:
-            since += last
-            if since in self.open_prefixes:
-                alive.append((since, path))
-            if whole is None:
-                token = ranks.get(since)
-                if token is not None and self.accepts(path[-1] if path else root, token):
-                    whole = (*path, token)
+        before = iter(state.alive)
+        for place, left in zip(before, before):
+            place = goto.get(place << 8 | byte)
+            if place is None:
+                continue
+            token = token_at[place]
+            if whole is None and token != NONE:
+                pair = left * size + token
+                fits = pairs.get(pair)
+                if fits is None:
+                    fits = self.accepts(left, token)
+                    if len(pairs) < PAIR_LIMIT:
+                        pairs[pair] = fits
+                if fits:
+                    whole = token
+            if goes_on[place]:
+                alive += (place, left)
         if whole is None:
             raise ValueError("the ranks leave a text without a valid encoding")
-        alive.append((b"", whole))
-        least = min(path for _, path in alive)
-        common = 0
-        while common < len(least) and least[common] == whole[common]:
-            common += 1
-        for _, path in alive:
-            while path[:common] != least[:common]:
-                common -= 1
-        if common:
-            root = least[common - 1]
-            alive = [(since, path[common:]) for since, path in alive]
-        key = (root, tuple(alive))
+        key = (*alive, 0, whole)
         following = self.states.get(key)
         if following is None:
-            following = self.states[key] = State(*key)
-        return least[:common], following
-
-    def rest(self, state: State, data: bytes) -> list[int]:
-        """Ids after ``state`` for all that follows, by the same rule without building states.
-
-        Each prefix gets its last token; a prefix whose encoding avoids the state's root gets none.
-        """
-        since, path = state.alive[0]
-        pending = b"".join([self.bytes_of[t] for t in path]) + since + data
-        ranks, pairs, root = self.ranks, self.pairs, state.root
-        last: list[int | None] = [root]
-        begin = [0]
-        for end in range(1, len(pending) + 1):
-            found = None
-            for start in range(max(0, end - self.longest), end):
-                token = ranks.get(pending[start:end])
-                if token is None or last[start] is None:
-                    continue
-                fits = pairs.get((last[start], token))
-                if self.accepts(last[start], token) if fits is None else fits:
-                    found = token
-                    break
-            last.append(found)
-            begin.append(start)
-        out, at = [], len(pending)
-        while at:
-            out.append(last[at])
-            at = begin[at]
-        return out[::-1]
+            following = State(key)
+            if len(self.states) >= STATE_LIMIT:
+                return following
+            self.states[key] = following
+        state[byte] = following
+        return following
+
+    def settled(self, last: list[int], state: State) -> int:
+        """Up to which byte all prefixes that a token may still end behind have the same ids."""
+        ends = {len(last) - self.depth[place] for place in state.alive[::2]}
+        while len(ends) > 1:
+            end = max(ends)
+            ends.remove(end)
+            ends.add(end - self.length[last[end - 1]])
+        return ends.pop()
+
+    def emit(self, last: list[int], end: int) -> list[int]:
+        """Ids of the prefix that ends at byte ``end``, from the last token of each prefix."""
+        out, length = [], self.length
+        while end:
+            token = last[end - 1]
+            out.append(token)
+            end -= length[token]
+        out.reverse()
+        return out
 
     def encode(self, piece: bytes) -> list[int]:
         known = self.ranks.get(piece)
         if known is not None:
             return [known]
-        out: list[int] = []
-        state = self.start
-        for at, byte in enumerate(piece):
-            found = state.moves.get(byte)
-            if found is None:
-                if len(self.states) >= STATE_LIMIT:
-                    return out + self.rest(state, piece[at:])
-                found = state.moves[byte] = self.move(state, byte)
-            emitted, state = found
-            if emitted:
-                out += emitted
-        return out + list(state.alive[-1][1])
+        out, last, state = [], [], self.start
+        for lo in range(0, len(piece), EMIT_AFTER):
+            if lo:
+                end = self.settled(last, state)
+                out += self.emit(last, end)
+                del last[:end]
+            for byte in piece[lo : lo + EMIT_AFTER]:
+                following = state.get(byte)
+                state = self.move(state, byte) if following is None else following
+                last.append(state.last)
+        return out + self.emit(last, len(last))
 
     def piece_ids(self, piece: str) -> tuple[int, ...]:
         ids = tuple(self.encode(piece.encode("utf-8", "surrogatepass")))
@@ -219,9 +232,15 @@ class Transducer:
         return ids
 
     def span_ids(self, span: str, pattern: regex.Pattern) -> tuple[int, ...]:
-        known, new = self.pieces.get, self.piece_ids
-        ids = tuple(chain.from_iterable([known(p) or new(p) for p in pattern.findall(" " + span)]))
-        if len(self.spans) < PIECE_LIMIT:
+        """Ids of a space and what follows it up to the next one. Its first piece, the one with the space, is a span as well."""
+        first, *rest = pattern.findall(" " + span)
+        if rest:
+            known, new = self.pieces.get, self.piece_ids
+            word = first[1:]
+            ids = tuple(chain(self.spans.get(word) or self.span_ids(word, pattern), *[known(p) or new(p) for p in rest]))
+        else:
+            ids = tuple(self.encode(first.encode("utf-8", "surrogatepass")))
+        if len(self.spans) < SPAN_LIMIT:
             self.spans[span] = ids
         return ids
 

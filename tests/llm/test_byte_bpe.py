@@ -43,6 +43,38 @@ def test_full_tables_change_nothing(library, prose, monkeypatch):
     assert len(small.states) <= 20 and len(small.pieces) <= 10
 
 
+def test_every_byte_of_a_piece_goes_through_the_transducer(library, prose, monkeypatch):
+    """Also when no state can be kept: then each byte is a move of its own."""
+    for limit in ("PIECE_LIMIT", "SPAN_LIMIT", "PAIR_LIMIT"):
+        monkeypatch.setattr(bb, limit, 0, raising=False)
+    monkeypatch.setattr(bb, "STATE_LIMIT", 1)
+    small, text, moves = bb.Transducer(bb.load_ranks(PATH)), prose(6, 400) + " don't 'll, (naïve) 's\n x", []
+    monkeypatch.setattr(small, "move", lambda state, byte: moves.append(byte) or bb.Transducer.move(small, state, byte))
+    pieces = [p.encode() for p in regex.findall(PATTERN, text)]
+    for piece in pieces:
+        assert small.encode(piece) == library.encode_ordinary(piece.decode())
+    assert bytes(moves) == b"".join(p for p in pieces if p not in small.ranks)
+    assert small.encode_text(text, regex.compile(PATTERN)) == library.encode_ordinary(text)
+
+
+def test_rare_words_share_states(model, prose):
+    """States know only what longer tokens may still need: 26,100 words need fewer than two each, and they fit the table."""
+    fresh = bb.Transducer(model.ranks)
+    for word in set(prose(7, 40_000).split()):
+        fresh.encode(b" " + word.encode())
+    assert len(fresh.states) < min(50_000, bb.STATE_LIMIT)
+
+
+@pytest.mark.parametrize("block", [1, 8, 50])
+def test_long_pieces_are_emitted_as_they_go(library, prose, monkeypatch, block):
+    monkeypatch.setattr(bb, "EMIT_AFTER", block)
+    own, waiting = bb.Transducer(bb.load_ranks(PATH)), []
+    monkeypatch.setattr(own, "settled", lambda last, state: waiting.append(len(last)) or bb.Transducer.settled(own, last, state))
+    for piece in (prose(8, 300).replace(" ", ""), "ÃÂ" * 300, "a" * 1000, "日本語" * 99, "=" * 300, " " * 300, "0123456789" * 40):
+        assert own.encode(piece.encode()) == library.encode_ordinary(piece)
+    assert max(waiting) <= block + 2 * max(own.length)
+
+
 def test_all_tokens_of_the_vocabulary(model, library):
     for token, rank in bb.load_ranks(PATH).items():
         assert model.encode(token) == [rank]
