@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlap.llm.common import by_bytes, map_arrow
 
-STATE_LIMIT = 200_000
-PAIR_LIMIT = 300_000
-PIECE_LIMIT = 150_000
-SPAN_LIMIT = 300_000
+STATE_LIMIT = 100_000
+PAIR_LIMIT = 120_000
+PIECE_LIMIT = 30_000
+SPAN_LIMIT = 200_000
 DECODED = 512  # tokens that the streaming decoder takes at a time
 EMIT_AFTER = 4096  # bytes of a piece after which the ids that are settled are emitted
 NONE = -1
@@ -84,7 +84,6 @@ class Transducer:
                 place = self.goto[key]
             self.token_at[place] = token
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self.spines: dict[tuple[int, int], tuple[tuple[bytes, int], ...] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.spans: dict[str, tuple[int, ...]] = {}
@@ -109,27 +108,25 @@ class Transducer:
             self.splits[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
         return self.splits[token]
 
-    def spine(self, token: int, side: int) -> tuple[tuple[bytes, int], ...] | None:
+    def spine(self, token: int, side: int) -> list[tuple[bytes, int]] | None:
         """The parts that stand at one edge of a token while it is put together, each with the rank at which it is used up.
 
         ``side`` 0 is the left edge, 1 the right one. None if the merges never give this token.
         """
-        known = self.spines.get((token, side), False)
-        if known is not False:
-            return known
-        text = self.bytes_of[token]
-        found: tuple[tuple[bytes, int], ...] | None = ((text, 1 << 60),)
-        if len(text) > 1:
+        found, used = [], 1 << 60
+        while True:
+            found.append((self.bytes_of[token], used))
+            if self.length[token] == 1:
+                return found
             parts = self.split(token)
-            rest = self.spine(parts[side], side) if parts else None
-            found = None if rest is None else (*found, (rest[0][0], token), *rest[1:])
-        self.spines[token, side] = found
-        return found
+            if parts is None:
+                return None
+            token, used = parts[side], token
 
     def accepts(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left`` (NONE: begin a piece): no merge across the two comes before those inside them."""
         after = self.spine(right, 0)
-        before = () if left == NONE else self.spine(left, 1)
+        before = [] if left == NONE else self.spine(left, 1)
         if after is None or before is None:
             return False
         for a, a_used in before:
